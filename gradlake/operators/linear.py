@@ -58,8 +58,8 @@ def batch_gradients(batched: DataFrame, w: Sequence[float], batch_size: int, key
 
 def predict_with_table(examples: DataFrame, weights_row: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Prediction with the weights in a one-row table ``(w array<double>)``: a scalar subquery, so no join at all."""
-    w = weights_row.select("w").scalar()
-    return examples.select(row_id, V.dot(F.col("features"), w).alias("prediction"))
+    with_weights = examples.select(row_id, "features", weights_row.select("w").scalar().alias("w"))
+    return with_weights.select(row_id, V.dot(F.col("features"), F.col("w")).alias("prediction"))
 
 
 def predict_long(cells: DataFrame, weights: DataFrame, row_id: str = "row_id") -> DataFrame:
