@@ -63,7 +63,7 @@ class FitResult:
     phases: list[tuple[int, str, float]] = field(default_factory=list)  # epoch, phase, milliseconds
 
     def millis(self, phase: str) -> float:
-        return sum(ms for _, name, ms in self.phases if name == phase)
+        return sum((ms for _, name, ms in self.phases if name == phase), 0.0)
 
 
 def initial_weights(n_features: int, seed: int = 42) -> list[float]:
@@ -267,8 +267,9 @@ class _Run:
 
     def _descend(self, w: np.ndarray, epoch: int, g: np.ndarray, c: np.ndarray, rows: int) -> np.ndarray:
         step = self.rate(epoch) / rows
-        for g_batch, c_batch in zip(g, c):
-            w = w - step * (g_batch @ w - c_batch)
+        with np.errstate(all="ignore"):
+            for g_batch, c_batch in zip(g, c):
+                w = w - step * (g_batch @ w - c_batch)
         return _finite(w, epoch)
 
     # -- one batch of all rows: the moments never change, so one pass serves all epochs
