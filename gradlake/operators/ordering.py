@@ -1,6 +1,6 @@
 """Exact random order of a table, batch assignment and gathers, without a global sort.
 
-Each row has an MD5 key per epoch. The leading hex digits of the key split the rows into equally filled, ordered buckets, so
+Each row has an MD5 key per epoch. The leading bits of the key split the rows into equally filled, ordered buckets, so
 
 * the position of a row is the number of rows in earlier buckets plus its rank inside its own small bucket, and
 * the row that starts a batch is found by ranking only the buckets in which a batch starts. Every other row gets its batch
@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from gradlake.functions.names import natural_key
 from gradlake.functions.seeded import order_key
 
-FEW_DIGITS = 3  # 4,096 buckets
-MANY_DIGITS = 5  # 1,048,576 buckets
-ROWS_FOR_FEW_DIGITS = 2**32  # beyond this a bucket would hold more than a million rows
+# A task counts its own rows per bucket first, so the buckets must stay few against the rows of a task.
+FEW_BITS = 12
+MANY_BITS = 16
+MOST_BITS = 20
+ROWS_FOR_FEW_BITS = 2**32  # beyond this a bucket of few bits would hold more than a million rows
 MAX_BUCKETS = 2**20  # buckets of all epochs measured together
-MAX_BROADCAST_ENTRIES = 2**18  # buckets plus cuts, about 30 MB
+MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, below 100 MB
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,7 @@ class EpochOrder:
 
     seed: int
     epochs: tuple[int, ...]
-    digits: int
+    bits: int
     counts: np.ndarray  # epochs x buckets
 
     @property
@@ -47,42 +49,57 @@ class EpochOrder:
         """Position of the first row of each bucket."""
         return np.cumsum(self.counts, axis=1) - self.counts
 
-    def bucket_names(self) -> list[str]:
-        return [format(b, f"0{self.digits}x") for b in range(self.counts.shape[1])]
+    def per_bucket(self) -> dict[str, np.ndarray]:
+        """The keys of a table with one row per epoch and bucket."""
+        buckets = self.counts.shape[1]
+        return {
+            "epoch": np.repeat(np.array(self.epochs, dtype=np.int32), buckets),
+            "bucket": np.tile(np.arange(buckets, dtype=np.int32), len(self.epochs)),
+        }
 
+    def of(self, epochs: Sequence[int]) -> EpochOrder:
+        """The part for some of the epochs."""
+        lines = [self.epochs.index(e) for e in epochs]
+        return EpochOrder(self.seed, tuple(epochs), self.bits, self.counts[lines])
 
-def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, digits: int, row_id: str = "row_id") -> DataFrame:
-    """Repeat every row once per epoch and add its ``order_key`` and ``bucket``."""
+
+def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, bits: int, row_id: str = "row_id") -> DataFrame:
+    """Repeat every row once per epoch and add its ``order_key`` and ``bucket``, the leading bits of the key."""
     wanted = F.array(*[F.lit(int(e)) for e in epochs])
     keyed = df.withColumn("epoch", F.explode(wanted)).withColumn("order_key", order_key(F.col(row_id), F.col("epoch"), seed))
-    return keyed.withColumn("bucket", F.substring("order_key", 1, digits))
+    digits = -(-bits // 4)
+    leading = F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int")
+    return keyed.withColumn("bucket", F.shiftright(leading, 4 * digits - bits))
+
+
+def default_bits(rows: int) -> int:
+    return FEW_BITS if rows <= ROWS_FOR_FEW_BITS else MANY_BITS
 
 
-def epochs_per_pass(digits: int = FEW_DIGITS) -> int:
+def epochs_per_pass(bits: int = FEW_BITS) -> int:
     """How many epochs may be measured in one pass."""
-    return max(1, MAX_BUCKETS // 16**digits)
+    return max(1, MAX_BUCKETS // 2**bits)
 
 
 def measure_order(
-    df: DataFrame, epochs: Sequence[int], seed: int = 42, row_id: str = "row_id", digits: int | None = None
+    df: DataFrame, epochs: Sequence[int], seed: int = 42, row_id: str = "row_id", bits: int | None = None
 ) -> EpochOrder:
     """Count the rows of each bucket. Reads the id column only."""
     epochs = tuple(int(e) for e in epochs)
     if not epochs:
         raise ValueError("at least one epoch is needed")
-    used = digits or FEW_DIGITS
-    if len(epochs) * 16**used > MAX_BUCKETS:
+    used = bits or FEW_BITS
+    if len(epochs) * 2**used > MAX_BUCKETS:
         raise ValueError(f"measure at most {epochs_per_pass(used)} epochs at a time")
     counted = with_keys(df.select(row_id), epochs, seed, used, row_id).groupBy("epoch", "bucket").agg(F.count("*").alias("n"))
     found = counted.toArrow()
-    counts = np.zeros((len(epochs), 16**used), dtype=np.int64)
-    place = {e: i for i, e in enumerate(epochs)}
-    lines = [place[e] for e in found.column("epoch").to_pylist()]
-    buckets = [int(b, 16) for b in found.column("bucket").to_pylist()]
-    counts[lines, buckets] = found.column("n").to_numpy()
+    counts = np.zeros((len(epochs), 2**used), dtype=np.int64)
+    line = np.zeros(max(epochs) + 1, dtype=np.int64)
+    line[list(epochs)] = np.arange(len(epochs))
+    counts[line[found.column("epoch").to_numpy()], found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     order = EpochOrder(seed, epochs, used, counts)
-    if digits is None and order.rows > ROWS_FOR_FEW_DIGITS:
-        return measure_order(df, epochs, seed, row_id, MANY_DIGITS)
+    if bits is None and default_bits(order.rows) > used:
+        return measure_order(df, epochs, seed, row_id, default_bits(order.rows))
     _check_fill(order)
     return order
 
@@ -94,9 +111,9 @@ def _check_fill(order: EpochOrder) -> None:
         raise ValueError("row ids repeat: a random order needs one id per row (see with_row_id)")
 
 
-def _lookup(spark: SparkSession, columns: dict[str, list], types: list[pa.DataType]) -> DataFrame:
-    arrays = [pa.array(values, type=t) for values, t in zip(columns.values(), types)]
-    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(columns)))
+def _lookup(spark: SparkSession, columns: dict, types: dict[str, pa.DataType]) -> DataFrame:
+    kinds = {"epoch": pa.int32(), "bucket": pa.int32()} | types
+    return spark.createDataFrame(pa.table({name: pa.array(values, type=kinds[name]) for name, values in columns.items()}))
 
 
 def _attach(df: DataFrame, lookup: DataFrame, entries: int) -> DataFrame:
@@ -110,18 +127,9 @@ def epoch_permutation(
 ) -> DataFrame:
     """Uniform random permutation of all rows for each epoch: ``df`` plus ``epoch`` and ``pos`` (0-based)."""
     order = order or measure_order(df, epochs, seed, row_id)
-    names = order.bucket_names()
-    starts = order.starts
-    lookup = _lookup(
-        df.sparkSession,
-        {
-            "epoch": [e for e in order.epochs for _ in names],
-            "bucket": names * len(order.epochs),
-            "first_pos": starts.ravel(),
-        },
-        [pa.int32(), pa.string(), pa.int64()],
-    )
-    keyed = _attach(with_keys(df, order.epochs, order.seed, order.digits, row_id), lookup, starts.size)
+    starts = order.starts.ravel()
+    lookup = _lookup(df.sparkSession, order.per_bucket() | {"first_pos": starts}, {"first_pos": pa.int64()})
+    keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, len(starts))
     inside = Window.partitionBy("epoch", "bucket").orderBy("order_key")
     repeated = F.lag("order_key").over(inside) == F.col("order_key")
     pos = F.col("first_pos") + F.row_number().over(inside) - 1
@@ -129,39 +137,35 @@ def epoch_permutation(
     return keyed.withColumn("pos", checked).drop("order_key", "bucket", "first_pos")
 
 
-def _cuts(order: EpochOrder, unit_rows: int, end: int) -> list[dict[int, list[int]]]:
-    """For each epoch: bucket -> ranks inside it at which a unit (or the skipped tail) starts."""
-    result = []
-    for counts, starts in zip(order.counts, order.starts):
+def _cuts(order: EpochOrder, unit_rows: int, end: int) -> dict[tuple[int, int], list[int]]:
+    """``(epoch, bucket)`` -> ranks inside the bucket at which a unit (or the skipped tail) starts."""
+    cuts: dict[tuple[int, int], list[int]] = {}
+    for epoch, counts, starts in zip(order.epochs, order.counts, order.starts):
         positions = np.append(np.arange(unit_rows, end, unit_rows, dtype=np.int64), end)
         positions = positions[positions < order.rows]
         filled = np.flatnonzero(counts)
         buckets = filled[np.searchsorted(starts[filled], positions, side="right") - 1]
         ranks = positions - starts[buckets]
-        cuts: dict[int, list[int]] = {}
         for bucket, rank in zip(buckets[ranks > 0].tolist(), ranks[ranks > 0].tolist()):
-            cuts.setdefault(bucket, []).append(rank)
-        result.append(cuts)
-    return result
+            cuts.setdefault((epoch, bucket), []).append(rank)
+    return cuts
 
 
-def _cut_keys(df: DataFrame, order: EpochOrder, cuts: list[dict[int, list[int]]], row_id: str) -> dict[tuple[int, str], list[str]]:
+def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list[int]], row_id: str) -> dict[tuple[int, int], list[str]]:
     """The keys of the rows at the given ranks. Ranks only the buckets that hold a cut, and reads the id column only."""
-    names = order.bucket_names()
-    wanted = [(e, names[b], ranks) for e, found in zip(order.epochs, cuts) for b, ranks in found.items()]
-    if not wanted:
+    if not cuts:
         return {}
     lookup = _lookup(
         df.sparkSession,
-        {"epoch": [w[0] for w in wanted], "bucket": [w[1] for w in wanted], "ranks": [w[2] for w in wanted]},
-        [pa.int32(), pa.string(), pa.list_(pa.int64())],
+        {"epoch": [e for e, _ in cuts], "bucket": [b for _, b in cuts], "ranks": list(cuts.values())},
+        {"ranks": pa.list_(pa.int64())},
     )
-    entries = len(wanted) + sum(len(w[2]) for w in wanted)
-    keyed = _attach(with_keys(df.select(row_id), order.epochs, order.seed, order.digits, row_id), lookup, entries)
+    entries = len(cuts) + sum(len(ranks) for ranks in cuts.values())
+    keyed = _attach(with_keys(df.select(row_id), order.epochs, order.seed, order.bits, row_id), lookup, entries)
     inside = Window.partitionBy("epoch", "bucket").orderBy("order_key")
     ranked = keyed.withColumn("rank", F.row_number().over(inside).cast("bigint") - 1)
     found = ranked.where(F.array_contains("ranks", F.col("rank"))).select("epoch", "bucket", "order_key").toArrow()
-    keys: dict[tuple[int, str], list[str]] = {}
+    keys: dict[tuple[int, int], list[str]] = {}
     for e, b, k in zip(*[found.column(c).to_pylist() for c in ("epoch", "bucket", "order_key")]):
         keys.setdefault((e, b), []).append(k)
     return {place: sorted(ks) for place, ks in keys.items()}
@@ -172,28 +176,44 @@ def assign_units(
 ) -> DataFrame:
     """Cut the first ``end`` rows of the random order into consecutive units of ``unit_rows`` rows.
 
-    Adds ``epoch``, ``order_key`` and the unit number, and leaves out the rows after position ``end``.
+    Adds ``epoch`` and the unit number, and leaves out the rows after position ``end``.
     """
-    names = order.bucket_names()
     units = -(-end // unit_rows)
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
-    firsts = np.where(order.starts < end, order.starts // unit_rows, units)
+    firsts = np.where(order.starts < end, order.starts // unit_rows, units).ravel()
+    cut_keys = [None] * len(firsts)
+    line = {e: i for i, e in enumerate(order.epochs)}
+    for (epoch, bucket), found in keys.items():
+        cut_keys[line[epoch] * order.counts.shape[1] + bucket] = found
     lookup = _lookup(
         df.sparkSession,
-        {
-            "epoch": [e for e in order.epochs for _ in names],
-            "bucket": names * len(order.epochs),
-            "first_unit": firsts.ravel(),
-            "cut_keys": [keys.get((e, n), []) for e in order.epochs for n in names],
-        },
-        [pa.int32(), pa.string(), pa.int64(), pa.list_(pa.string())],
+        order.per_bucket() | {"first_unit": firsts, "cut_keys": cut_keys},
+        {"first_unit": pa.int64(), "cut_keys": pa.list_(pa.string())},
     )
-    entries = firsts.size + sum(len(k) for k in keys.values())
-    keyed = _attach(with_keys(df, order.epochs, order.seed, order.digits, row_id), lookup, entries)
+    entries = len(firsts) + sum(len(k) for k in keys.values())
+    keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, entries)
     passed = F.size(F.filter("cut_keys", lambda k: k <= F.col("order_key")))
-    within = F.when(F.size("cut_keys") == 0, F.lit(0)).otherwise(passed)
+    within = F.when(F.col("cut_keys").isNull(), F.lit(0)).otherwise(passed)
     numbered = keyed.withColumn(unit, F.col("first_unit") + within).where(F.col(unit) < units)
-    return numbered.drop("bucket", "first_unit", "cut_keys")
+    return numbered.drop("order_key", "bucket", "first_unit", "cut_keys")
+
+
+def assign_runs(df: DataFrame, order: EpochOrder, rows: int, end: int, row_id: str = "row_id") -> DataFrame:
+    """Split the random order into consecutive runs of whole buckets, of about ``rows`` rows each.
+
+    Adds ``epoch``, ``order_key``, the number of the run as ``block`` and the position of its first row as ``first_pos``.
+    Buckets that start at or after position ``end`` are left out. Nothing is ranked and no key passes through the driver.
+    """
+    starts = order.starts
+    blocks = starts // rows
+    # a run starts at its first bucket
+    opens = np.concatenate([np.ones((len(starts), 1), dtype=bool), blocks[:, 1:] != blocks[:, :-1]], axis=1)
+    first = np.maximum.accumulate(np.where(opens, starts, 0), axis=1)
+    wanted = ((starts < end) & (order.counts > 0)).ravel()
+    columns = order.per_bucket() | {"block": blocks.ravel(), "first_pos": first.ravel()}
+    lookup = _lookup(df.sparkSession, {k: v[wanted] for k, v in columns.items()}, {"block": pa.int64(), "first_pos": pa.int64()})
+    keyed = with_keys(df, order.epochs, order.seed, order.bits, row_id)
+    return _attach(keyed, lookup, int(wanted.sum())).drop("bucket")
 
 
 def number_of_batches(rows: int, batch_size: int) -> int:
@@ -221,7 +241,7 @@ def assign_batches(
         return df.withColumn("epoch", F.explode(wanted)).withColumn("batch", F.lit(0).cast("bigint"))
     order = order or measure_order(df, epochs, seed, row_id)
     batches = number_of_batches(order.rows, batch_size)
-    return assign_units(df, order, batch_size, batches * batch_size, row_id).drop("order_key")
+    return assign_units(df, order, batch_size, batches * batch_size, row_id)
 
 
 def permute(examples: DataFrame, order: DataFrame, row_id: str = "row_id") -> DataFrame:

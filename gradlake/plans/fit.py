@@ -29,11 +29,12 @@ from gradlake.functions import vectors as V
 from gradlake.functions.seeded import uniform_value
 from gradlake.operators import linear
 from gradlake.operators.ordering import (
-    FEW_DIGITS,
-    MANY_DIGITS,
-    ROWS_FOR_FEW_DIGITS,
+    FEW_BITS,
+    MOST_BITS,
     EpochOrder,
+    assign_runs,
     assign_units,
+    default_bits,
     epochs_per_pass,
     measure_order,
     number_of_batches,
@@ -232,38 +233,32 @@ class _Run:
     def _timed(self, epoch: int, phase: str, started: float) -> None:
         self.phases.append((epoch, phase, 1000 * (time.perf_counter() - started)))
 
-    def _measure(self, epochs: Sequence[int]) -> EpochOrder:
+    def _order_of(self, epochs: Sequence[int], bits: int) -> EpochOrder:
+        """The measured order of these epochs, in buckets of at least this many bits."""
+        if self.order is not None and self.order.bits >= bits and set(epochs) <= set(self.order.epochs):
+            return self.order.of(epochs)
         started = time.perf_counter()
-        found = measure_order(self.examples, epochs, self.seed, digits=self._digits())
+        found = measure_order(self.examples, epochs, self.seed, bits=bits)
         self._timed(epochs[0], "shuffle", started)
         if found.rows != self.n_rows:
             raise ValueError("the data changed while it was read")
         return found
 
-    def _digits(self) -> int:
-        return FEW_DIGITS if self.n_rows <= ROWS_FOR_FEW_DIGITS else MANY_DIGITS
-
-    def _order_of(self, epochs: Sequence[int]) -> EpochOrder:
-        if self.order is not None and set(epochs) <= set(self.order.epochs):
-            lines = [self.order.epochs.index(e) for e in epochs]
-            return EpochOrder(self.order.seed, tuple(epochs), self.order.digits, self.order.counts[lines])
-        return self._measure(epochs)
-
-    def _units(self, epochs: Sequence[int], unit_rows: int, unit: str) -> DataFrame:
-        """Rows of the full batches of these epochs, numbered by runs of ``unit_rows`` rows."""
+    def _batched(self, epochs: Sequence[int]) -> DataFrame:
+        """Rows of the full batches of these epochs."""
         end = self.num_batches * self.batch_size
         if self.shuffle:
-            order = self._order_of(epochs)
+            order = self._order_of(epochs, default_bits(self.n_rows))
             started = time.perf_counter()
-            placed = assign_units(self.examples, order, unit_rows, end, unit=unit)
+            placed = assign_units(self.examples, order, self.batch_size, end)
             self._timed(epochs[0], "shuffle", started)
             return placed
+        return self._in_row_order(epochs, self.batch_size, "batch").where(F.col("row_id") < end)
+
+    def _in_row_order(self, epochs: Sequence[int], rows: int, unit: str) -> DataFrame:
         wanted = F.array(*[F.lit(e) for e in epochs])
-        number = F.call_function("div", F.col("row_id"), F.lit(unit_rows).cast("bigint"))
-        placed = self.examples.withColumn("epoch", F.explode(wanted)).withColumn(unit, number)
-        # ids of equal width sort as text in the order of their numbers
-        placed = placed.withColumn("order_key", F.lpad(F.col("row_id").cast("string"), 20, "0"))
-        return placed.where(F.col("row_id") < end)
+        number = F.call_function("div", F.col("row_id"), F.lit(rows).cast("bigint"))
+        return self.examples.withColumn("epoch", F.explode(wanted)).withColumn(unit, number)
 
     def _descend(self, w: np.ndarray, epoch: int, g: np.ndarray, c: np.ndarray, rows: int) -> np.ndarray:
         step = self.rate(epoch) / rows
@@ -297,7 +292,7 @@ class _Run:
         need = _moment_bytes(self.num_batches, self.n_features)
         if need > DRIVER_BYTES:
             raise ValueError("the batch moments do not fit the driver; use the blocks strategy")
-        at_once = max(1, min(DRIVER_BYTES // need, epochs_per_pass(self._digits())))
+        at_once = max(1, min(DRIVER_BYTES // need, epochs_per_pass(default_bits(self.n_rows))))
         every = list(range(1, self.epochs + 1))
         if not self.shuffle:
             g, c = self._moments_of([1])[1]
@@ -311,7 +306,7 @@ class _Run:
         return w
 
     def _moments_of(self, epochs: Sequence[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        placed = self._units(epochs, self.batch_size, "batch")
+        placed = self._batched(epochs)
         started = time.perf_counter()
         table = S.narrow_moments(placed, self.n_features, ["epoch", "batch"]).toArrow()
         table = table.sort_by([("epoch", "ascending"), ("batch", "ascending")])
@@ -325,11 +320,9 @@ class _Run:
 
     def _fold_wide(self, w: np.ndarray) -> np.ndarray:
         """Batches too large for one task: partial sums per task, one map per batch."""
-        for epochs in _chunks(range(1, self.epochs + 1), epochs_per_pass(self._digits())):
-            placed = self._units(epochs, self.batch_size, "batch")
-            sums = S.wide_moments(placed, self.n_features, ["epoch", "batch"])
-            found = M.moment_maps(sums, self.n_features, self.batch_size, {e: self.rate(e) for e in epochs})
-            w = self._apply(w, found, self.num_batches, epochs)
+        for epochs in _chunks(range(1, self.epochs + 1), epochs_per_pass(default_bits(self.n_rows))):
+            sums = S.wide_moments(self._batched(epochs), self.n_features, ["epoch", "batch"])
+            w = self._apply(w, M.moment_pieces(sums, self.n_features), self.num_batches, epochs)
         return w
 
     # -- blocks
@@ -338,37 +331,40 @@ class _Run:
         row_bytes = (self.n_features + 1) * 8
         if self.batch_size * row_bytes > LARGEST_BLOCK_BYTES:
             raise ValueError("a batch does not fit a task; use the fold strategy")
-        per_block = self._batches_per_block(row_bytes)
-        moved = self.num_batches * self.batch_size * row_bytes
-        at_once = max(1, min(SHUFFLED_BYTES // moved, epochs_per_pass(self._digits())))
+        end = self.num_batches * self.batch_size
+        rows = self._rows_per_block(row_bytes)
+        # about eight buckets per block let the blocks come out even
+        bits = min(MOST_BITS, max(FEW_BITS, math.ceil(math.log2(8 * self.n_rows / rows))))
+        at_once = max(1, min(SHUFFLED_BYTES // (end * row_bytes), epochs_per_pass(bits)))
         for epochs in _chunks(range(1, self.epochs + 1), at_once):
-            rows = per_block * self.batch_size
-            placed = self._units(epochs, rows, "block")
+            if self.shuffle:
+                order = self._order_of(epochs, bits)
+                placed, most = assign_runs(self.examples, order, rows, end), rows + int(order.counts.max())
+            else:
+                # ids of equal width sort as text in the order of their numbers
+                placed = self._in_row_order(epochs, rows, "block").withColumn("first_pos", F.col("block") * rows)
+                placed, most = placed.withColumn("order_key", F.lpad(F.col("row_id").cast("string"), 20, "0")), rows
             rates = {e: self.rate(e) for e in epochs}
-            found = M.block_maps(placed, self.n_features, self.batch_size, rates, rows)
-            w = self._apply(w, found, -(-self.num_batches // per_block), epochs)
+            found = M.block_pieces(placed, self.n_features, self.batch_size, self.num_batches, rates, most)
+            w = self._apply(w, found, 3 * -(-self.n_rows // rows), epochs)
         return w
 
-    def _batches_per_block(self, row_bytes: int) -> int:
-        """Batches per block: enough rows to outweigh the map, enough blocks to use the cluster, and small enough for a task."""
-        batch_bytes = self.batch_size * row_bytes
-        limit = max(BLOCK_BYTES, min(LARGEST_BLOCK_BYTES, self.num_batches * batch_bytes // MANY_BLOCKS))
-        largest = max(1, limit // batch_bytes)
+    def _rows_per_block(self, row_bytes: int) -> int:
+        """Enough rows to outweigh the map of a block, enough blocks to use the cluster, and small enough for a task."""
+        limit = max(BLOCK_BYTES, min(LARGEST_BLOCK_BYTES, self.n_rows * row_bytes // MANY_BLOCKS))
         cores = self.examples.sparkSession.sparkContext.defaultParallelism
-        to_fill = math.ceil(self.num_batches * self.epochs / (4 * cores))
-        to_pay = math.ceil(2 * (self.n_features + 1) / self.batch_size)
-        return int(max(1, min(largest, self.num_batches, max(to_fill, to_pay))))
+        to_fill = math.ceil(self.n_rows * self.epochs / (4 * cores))
+        to_pay = max(4 * (self.n_features + 1), 2 * self.batch_size)
+        return int(min(limit // row_bytes, max(to_fill, to_pay), self.n_rows))
 
-    def _apply(self, w: np.ndarray, found: DataFrame, count: int, epochs: Sequence[int]) -> np.ndarray:
-        """Compose the maps of each epoch and move the weights through them in order."""
+    def _apply(self, w: np.ndarray, pieces: DataFrame, count: int, epochs: Sequence[int]) -> np.ndarray:
+        """Compose the pieces of each epoch and move the weights through them in order."""
         started = time.perf_counter()
-        n = self.n_features
-        table = M.compose_until(found, n, count, len(epochs), DRIVER_BYTES).toArrow()
-        table = table.sort_by([("epoch", "ascending"), ("idx", "ascending")])
+        n, b, rates = self.n_features, self.batch_size, {e: self.rate(e) for e in epochs}
+        table = M.compose_until(pieces, n, b, self.num_batches, rates, count, DRIVER_BYTES).toArrow()
         self._timed(epochs[0], "gradient", started)
-        for epoch, flat in zip(table.column("epoch").to_pylist(), table.column("map")):
-            run = flat.values.to_numpy().reshape(n + 1, n + 1)
-            w = _finite(run[:n, :n] @ w + run[:n, n], epoch)
+        for epoch, moved in M.apply_pieces(w, table, n, b, rates):
+            w = _finite(moved, epoch)
         return w
 
     # -- loop
@@ -385,7 +381,7 @@ class _Run:
                 w = _finite(w - self.rate(epoch) * self._gradient(self.examples, w, self.n_rows), epoch)
                 self._timed(epoch, "gradient", started)
                 continue
-            placed = self._units([epoch], self.batch_size, "batch").select("batch", "features", "label")
+            placed = self._batched([epoch]).select("batch", "features", "label")
             held = placed.sortWithinPartitions("batch").persist(StorageLevel.MEMORY_AND_DISK)
             started = time.perf_counter()
             try:

@@ -4,118 +4,177 @@ One batch moves the weights by ``w -> (I - a/b G) w + a/b c``. Written on the ve
 running batches one after another multiplies their matrices. The product of a run of batches does not depend on the weights
 the run starts from, so all runs of all epochs are computed side by side and only their order matters at the end. That
 removes the one-batch-at-a-time limit of the textbook loop and gives the same weights up to rounding.
+
+The rows of a run become pieces ``(epoch, batch, whole, data)``: ``whole`` pieces hold the matrix of consecutive full batches
+starting with ``batch``; the others hold the moments of the part of a batch that a run has when a batch crosses into the next
+run. Moments of the same batch add up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_BYTES = 64 * 2**20
-MAP_SCHEMA = "epoch int, idx bigint, map array<double>"
+PIECE_SCHEMA = "epoch int, batch bigint, whole boolean, data array<double>"
+
+
+def piece_table() -> Callable:
+    """A function that packs pieces of one epoch into an Arrow table."""
+
+    def pack(epoch, pieces):
+        import pyarrow as pa
+
+        return pa.table(
+            {
+                "epoch": pa.array([epoch] * len(pieces), type=pa.int32()),
+                "batch": pa.array([p[0] for p in pieces], type=pa.int64()),
+                "whole": pa.array([p[1] for p in pieces], type=pa.bool_()),
+                "data": pa.array([p[2].ravel() for p in pieces], type=pa.list_(pa.float64())),
+            }
+        )
+
+    return pack
+
 
+def ordered_maps(n_features: int, batch_size: int) -> Callable:
+    """A function that turns the pieces of one epoch into maps in the order of their batches."""
+    c, b = n_features, batch_size
+
+    def maps(table, rate):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        table = table.sort_by("batch").combine_chunks()
+        stack = pc.list_flatten(table.column("data")).to_numpy().reshape(table.num_rows, c + 1, c + 1)
+        batches, whole = table.column("batch").to_numpy(), table.column("whole").to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(batches):
+            following = at + 1
+            if whole[at]:
+                yield stack[at]
+            else:
+                while following < len(batches) and batches[following] == batches[at]:
+                    following += 1
+                sums = stack[at:following].sum(axis=0)
+                run = np.eye(c + 1)
+                run[:c, :c] -= rate / b * sums[:c, :c]
+                run[:c, c] = rate / b * sums[:c, c]
+                yield run
+            at = following
+
+    return maps
 
-def block_maps(units: DataFrame, n_features: int, batch_size: int, rates: Mapping[int, float], rows_per_block: int) -> DataFrame:
-    """One map per ``(epoch, block)``: the rows of a block are sorted by their key, cut into batches and composed.
 
-    A block holds at most ``rows_per_block`` rows by construction, which the caller sizes to fit a task.
+def block_pieces(
+    rows: DataFrame, n_features: int, batch_size: int, batches: int, rates: Mapping[int, float], most_rows: int
+) -> DataFrame:
+    """Pieces of every ``(epoch, block)``: rows are sorted by their key, cut at the batch limits and composed.
+
+    A block holds at most ``most_rows`` rows, which the caller sizes to fit a task.
     """
     c, b, rates = n_features, batch_size, {int(e): float(r) for e, r in rates.items()}
+    pack = piece_table()
 
     def compose_rows(key, table):
         import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
 
         epoch, block = key[0].as_py(), key[1].as_py()
-        table = table.take(pc.sort_indices(table, sort_keys=[("order_key", "ascending")])).combine_chunks()
+        order = pc.sort_indices(table, sort_keys=[("order_key", "ascending")]).to_numpy()
         n = table.num_rows
-        if n > rows_per_block or n % b:
+        if n > most_rows:
             raise ValueError(f"block {block} of epoch {epoch} holds {n} rows")
-        flat = pc.list_flatten(table.column("features")).to_numpy()
+        flat = pc.list_flatten(table.column("features").combine_chunks()).to_numpy()
         if flat.size != n * c:
             raise ValueError(f"every row must hold {c} features")
-        x = flat.reshape(n, c)
-        y = table.column("label").to_numpy()
+        x = flat.reshape(n, c)[order]
+        y = table.column("label").to_numpy()[order]
+        start = table.column("first_pos")[0].as_py()
+        stop = min(start + n, batches * b)
         step = rates[epoch] / b
-        run = np.eye(c + 1)
-        for first in range(0, n, b):
-            xb, yb = x[first : first + b], y[first : first + b]
-            residual = xb @ run[:c]
-            residual[:, c] -= yb
-            run[:c] -= step * (xb.T @ residual)
-        return pa.table(
-            {
-                "epoch": pa.array([epoch], type=pa.int32()),
-                "idx": pa.array([block], type=pa.int64()),
-                "map": pa.array([run.ravel()], type=pa.list_(pa.float64())),
-            }
-        )
-
-    rows = units.select("epoch", "block", "order_key", "features", F.col("label").cast("double").alias("label"))
-    return rows.groupBy("epoch", "block").applyInArrow(compose_rows, MAP_SCHEMA)
-
-
-def moment_maps(moments: DataFrame, n_features: int, batch_size: int, rates: Mapping[int, float]) -> DataFrame:
-    """One map per ``(epoch, batch)`` from :func:`gradlake.plans.moments.wide_moments`; a group holds one triangle."""
-    c, b, rates = n_features, batch_size, {int(e): float(r) for e, r in rates.items()}
-
-    def to_map(key, table):
+        pieces = []
+        # rows up to the first batch limit, whole batches, rows after the last limit
+        head = min(-(-start // b) * b, stop)
+        tail = max(stop // b * b, head)
+        for lo, hi in ((start, head), (tail, stop)):
+            if hi > lo:
+                part = np.column_stack([x[lo - start : hi - start], y[lo - start : hi - start]])
+                pieces.append((lo // b, False, part.T @ part))
+        if tail > head:
+            run = np.eye(c + 1)
+            for first in range(head - start, tail - start, b):
+                xb = x[first : first + b]
+                residual = xb @ run[:c]
+                residual[:, c] -= y[first : first + b]
+                run[:c] -= step * (xb.T @ residual)
+            pieces.append((head // b, True, run))
+        return pack(epoch, pieces)
+
+    columns = ["epoch", "block", "first_pos", "order_key", "features", F.col("label").cast("double").alias("label")]
+    return rows.select(*columns).groupBy("epoch", "block").applyInArrow(compose_rows, PIECE_SCHEMA)
+
+
+def moment_pieces(moments: DataFrame, n_features: int) -> DataFrame:
+    """One piece per batch from :func:`gradlake.plans.moments.wide_moments`; a group holds one triangle."""
+    c = n_features
+    pack = piece_table()
+
+    def fold(key, table):
         import numpy as np
-        import pyarrow as pa
 
-        epoch, batch = key[0].as_py(), key[1].as_py()
         i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
         sums = np.zeros((c + 1, c + 1))
         sums[i, j] = sums[j, i] = table.column("value").to_numpy()
-        step = rates[epoch] / b
-        run = np.eye(c + 1)
-        run[:c, :c] -= step * sums[:c, :c]
-        run[:c, c] = step * sums[:c, c]
-        return pa.table(
-            {
-                "epoch": pa.array([epoch], type=pa.int32()),
-                "idx": pa.array([batch], type=pa.int64()),
-                "map": pa.array([run.ravel()], type=pa.list_(pa.float64())),
-            }
-        )
+        return pack(key[0].as_py(), [(key[1].as_py(), False, sums)])
 
-    return moments.groupBy("epoch", "batch").applyInArrow(to_map, MAP_SCHEMA)
+    return moments.groupBy("epoch", "batch").applyInArrow(fold, PIECE_SCHEMA)
 
 
-def compose(maps: DataFrame, n_features: int, fan_in: int) -> DataFrame:
-    """Multiply each run of ``fan_in`` consecutive maps of an epoch into one."""
-    d = n_features + 1
+def compose(pieces: DataFrame, n_features: int, batch_size: int, rates: Mapping[int, float], span: int) -> DataFrame:
+    """Multiply the maps of each span of consecutive batches of an epoch into one."""
+    rates = {int(e): float(r) for e, r in rates.items()}
+    pack, maps = piece_table(), ordered_maps(n_features, batch_size)
 
     def multiply(key, table):
-        import functools
-
         import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        table = table.sort_by("idx").combine_chunks()
-        stack = pc.list_flatten(table.column("map")).to_numpy().reshape(table.num_rows, d, d)
-        product = functools.reduce(lambda done, following: following @ done, stack)
-        return pa.table(
-            {
-                "epoch": pa.array([key[0].as_py()], type=pa.int32()),
-                "idx": pa.array([key[1].as_py()], type=pa.int64()),
-                "map": pa.array([np.ascontiguousarray(product).ravel()], type=pa.list_(pa.float64())),
-            }
-        )
+        epoch = key[0].as_py()
+        product = np.eye(n_features + 1)
+        for run in maps(table, rates[epoch]):
+            product = run @ product
+        return pack(epoch, [(key[1].as_py() * span, True, product)])
 
-    grouped = maps.withColumn("run", F.call_function("div", F.col("idx"), F.lit(fan_in).cast("bigint")))
-    return grouped.groupBy("epoch", "run").applyInArrow(multiply, MAP_SCHEMA)
+    spanned = pieces.withColumn("span", F.call_function("div", F.col("batch"), F.lit(span).cast("bigint")))
+    return spanned.groupBy("epoch", "span").applyInArrow(multiply, PIECE_SCHEMA)
 
 
-def compose_until(maps: DataFrame, n_features: int, count: int, epochs: int, limit_bytes: int = GROUP_BYTES) -> DataFrame:
-    """Compose level by level until the maps of all epochs together fit into ``limit_bytes``."""
+def compose_until(
+    pieces: DataFrame, n_features: int, batch_size: int, batches: int, rates: Mapping[int, float], count: int, limit_bytes: int
+) -> DataFrame:
+    """Compose level by level until the pieces of all epochs together fit into ``limit_bytes``.
+
+    ``count`` is the number of pieces of an epoch, which are spread evenly over its batches.
+    """
     each = (n_features + 1) ** 2 * 8
-    fan_in = int(min(1024, max(2, GROUP_BYTES // each)))
-    while count > 1 and count * epochs * each > limit_bytes:
-        maps = compose(maps, n_features, fan_in)
+    fan_in = int(min(1024, max(4, GROUP_BYTES // each)))
+    span = 1
+    while count > 2 and count * len(rates) * each > limit_bytes:
         count = -(-count // fan_in)
-    return maps
+        span = max(2 * span, -(-batches // count))
+        pieces = compose(pieces, n_features, batch_size, rates, span)
+    return pieces
+
+
+def apply_pieces(w: np.ndarray, table, n_features: int, batch_size: int, rates: Mapping[int, float]):
+    """Move the weights through collected pieces; yields the weights after each epoch."""
+    import pyarrow.compute as pc
+
+    maps = ordered_maps(n_features, batch_size)
+    for epoch in sorted(rates):
+        for run in maps(table.filter(pc.equal(table.column("epoch"), epoch)), rates[epoch]):
+            w = run[:n_features, :n_features] @ w + run[:n_features, n_features]
+        yield epoch, w

@@ -46,9 +46,9 @@ def test_units_may_end_inside_a_unit(ids):
     assert {(p // 700, r) for p, r in enumerate(expected_order(range(0, 6000, 2), 1)[:2500])} == set(found)
 
 
-@pytest.mark.parametrize("digits", [1, 2, 5])
-def test_any_number_of_buckets_gives_the_same_batches(ids, digits):
-    order = O.measure_order(ids, (1,), digits=digits)
+@pytest.mark.parametrize("bits", [2, 8, 11, 20])
+def test_any_number_of_buckets_gives_the_same_batches(ids, bits):
+    order = O.measure_order(ids, (1,), bits=bits)
     found = placed(O.assign_batches(ids, 450, (1,), order=order), "batch", "row_id")
     assert set(found) == set(placed(O.assign_batches(ids, 450, (1,)), "batch", "row_id"))
 
@@ -109,3 +109,16 @@ def test_bucket_counts_add_up(ids):
     assert order.rows == 3000
     assert np.array_equal(order.starts[:, 0], [0, 0])
     assert order.counts.sum() == 6000
+
+
+@pytest.mark.parametrize("rows", [40, 500, 5000])
+def test_runs_of_buckets(ids, rows):
+    order = O.measure_order(ids, (1, 2), bits=8)
+    found = placed(O.assign_runs(ids, order, rows, 2000), "epoch", "block", "first_pos", "order_key", "row_id")
+    for epoch in (1, 2):
+        mine = sorted((f[1:] for f in found if f[0] == epoch), key=lambda f: f[2])
+        want = expected_order(range(0, 6000, 2), epoch)
+        assert [f[3] for f in mine] == want[: len(mine)] and len(mine) >= 2000
+        first = {block: min(i for i, f in enumerate(mine) if f[0] == block) for block in {f[0] for f in mine}}
+        assert all(first[f[0]] == f[1] for f in mine)
+        assert [f[0] for f in mine] == sorted(f[0] for f in mine)

@@ -43,7 +43,7 @@ def test_row_wise_operators_do_not_shuffle(stored):
 def test_unused_columns_are_not_read(stored):
     text = plan(linear.mean_abs_error(stored, W))
     assert "other" not in text.split("ReadSchema")[1].splitlines()[0]
-    keys = plan(ordering.with_keys(stored.select("row_id"), (1,), 42, 3).groupBy("bucket").count())
+    keys = plan(ordering.with_keys(stored.select("row_id"), (1,), 42, 12).groupBy("bucket").count())
     assert "struct<row_id:bigint>" in keys
 
 
