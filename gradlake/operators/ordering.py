@@ -28,7 +28,8 @@ MANY_BITS = 16
 MOST_BITS = 20
 ROWS_FOR_FEW_BITS = 2**32  # beyond this a bucket of few bits would hold more than a million rows
 MAX_BUCKETS = 2**20  # buckets of all epochs measured together
-MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, below 100 MB
+MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, about 100 MB
+LOWEST_KEY, HIGHEST_KEY = "", "g"  # around every text of hex digits
 
 
 @dataclass(frozen=True)
@@ -68,12 +69,15 @@ def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, bits: int, row_id
     wanted = F.array(*[F.lit(int(e)) for e in epochs])
     keyed = df.withColumn("epoch", F.explode(wanted)).withColumn("order_key", order_key(F.col(row_id), F.col("epoch"), seed))
     digits = -(-bits // 4)
-    leading = F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int")
+    # never null, and declared so: otherwise each join on the bucket computes the key once more to filter out nulls
+    leading = F.coalesce(F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int"), F.lit(0))
     return keyed.withColumn("bucket", F.shiftright(leading, 4 * digits - bits))
 
 
-def default_bits(rows: int) -> int:
-    return FEW_BITS if rows <= ROWS_FOR_FEW_BITS else MANY_BITS
+def default_bits(rows: int, units: int = 1) -> int:
+    """Enough buckets that one holds at most some million rows and few cuts."""
+    bits = FEW_BITS if rows <= ROWS_FOR_FEW_BITS else MANY_BITS
+    return max(bits, min(MOST_BITS - 2, units.bit_length()))
 
 
 def epochs_per_pass(bits: int = FEW_BITS) -> int:
@@ -181,21 +185,28 @@ def assign_units(
     units = -(-end // unit_rows)
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
     firsts = np.where(order.starts < end, order.starts // unit_rows, units).ravel()
-    cut_keys = [None] * len(firsts)
-    line = {e: i for i, e in enumerate(order.epochs)}
-    for (epoch, bucket), found in keys.items():
-        cut_keys[line[epoch] * order.counts.shape[1] + bucket] = found
-    lookup = _lookup(
-        df.sparkSession,
-        order.per_bucket() | {"first_unit": firsts, "cut_keys": cut_keys},
-        {"first_unit": pa.int64(), "cut_keys": pa.list_(pa.string())},
-    )
-    entries = len(firsts) + sum(len(k) for k in keys.values())
-    keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, entries)
-    passed = F.size(F.filter("cut_keys", lambda k: k <= F.col("order_key")))
-    within = F.when(F.col("cut_keys").isNull(), F.lit(0)).otherwise(passed)
-    numbered = keyed.withColumn(unit, F.col("first_unit") + within).where(F.col(unit) < units)
-    return numbered.drop("order_key", "bucket", "first_unit", "cut_keys")
+    wanted = ((order.counts.ravel() > 0) & (firsts < units)).nonzero()[0]
+    # a bucket with cuts has one line per interval between them: low <= key < high
+    lines = order.per_bucket() | {"unit": firsts}
+    lines = {name: values[wanted].tolist() for name, values in lines.items()} | {
+        "low": [LOWEST_KEY] * len(wanted),
+        "high": [HIGHEST_KEY] * len(wanted),
+    }
+    if keys:
+        at = {place: i for i, place in enumerate(zip(lines["epoch"], lines["bucket"]))}
+        for (epoch, bucket), found in keys.items():
+            i = at[epoch, bucket]
+            lines["high"][i] = found[0]
+            first = lines["unit"][i]
+            for k, (low, high) in enumerate(zip(found, [*found[1:], HIGHEST_KEY]), 1):
+                if first + k < units:
+                    for name, value in zip(lines, (epoch, bucket, first + k, low, high)):
+                        lines[name].append(value)
+    lookup = _lookup(df.sparkSession, lines, {"unit": pa.int64(), "low": pa.string(), "high": pa.string()})
+    keyed = with_keys(df, order.epochs, order.seed, order.bits, row_id)
+    placed = _attach(keyed, lookup.withColumnRenamed("unit", unit), len(lines["unit"]))
+    inside = (F.col("order_key") >= F.col("low")) & (F.col("order_key") < F.col("high"))
+    return placed.where(inside).drop("order_key", "bucket", "low", "high")
 
 
 def assign_runs(df: DataFrame, order: EpochOrder, rows: int, end: int, row_id: str = "row_id") -> DataFrame:

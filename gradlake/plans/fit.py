@@ -244,11 +244,14 @@ class _Run:
             raise ValueError("the data changed while it was read")
         return found
 
+    def _bits(self) -> int:
+        return default_bits(self.n_rows, self.num_batches)
+
     def _batched(self, epochs: Sequence[int]) -> DataFrame:
         """Rows of the full batches of these epochs."""
         end = self.num_batches * self.batch_size
         if self.shuffle:
-            order = self._order_of(epochs, default_bits(self.n_rows))
+            order = self._order_of(epochs, self._bits())
             started = time.perf_counter()
             placed = assign_units(self.examples, order, self.batch_size, end)
             self._timed(epochs[0], "shuffle", started)
@@ -292,7 +295,7 @@ class _Run:
         need = _moment_bytes(self.num_batches, self.n_features)
         if need > DRIVER_BYTES:
             raise ValueError("the batch moments do not fit the driver; use the blocks strategy")
-        at_once = max(1, min(DRIVER_BYTES // need, epochs_per_pass(default_bits(self.n_rows))))
+        at_once = max(1, min(DRIVER_BYTES // need, epochs_per_pass(self._bits())))
         every = list(range(1, self.epochs + 1))
         if not self.shuffle:
             g, c = self._moments_of([1])[1]
@@ -320,7 +323,7 @@ class _Run:
 
     def _fold_wide(self, w: np.ndarray) -> np.ndarray:
         """Batches too large for one task: partial sums per task, one map per batch."""
-        for epochs in _chunks(range(1, self.epochs + 1), epochs_per_pass(default_bits(self.n_rows))):
+        for epochs in _chunks(range(1, self.epochs + 1), epochs_per_pass(self._bits())):
             sums = S.wide_moments(self._batched(epochs), self.n_features, ["epoch", "batch"])
             w = self._apply(w, M.moment_pieces(sums, self.n_features), self.num_batches, epochs)
         return w
@@ -375,39 +378,36 @@ class _Run:
         Rows stay where they are and are sorted by batch inside each partition, so a batch is spread over all tasks and the
         cached column chunks of other batches are skipped by their minimum and maximum.
         """
+        tasks = None
         for epoch in range(1, self.epochs + 1):
-            if self.batch_size == 0:
-                started = time.perf_counter()
-                w = _finite(w - self.rate(epoch) * self._gradient(self.examples, w, self.n_rows), epoch)
-                self._timed(epoch, "gradient", started)
-                continue
-            placed = self._batched([epoch]).select("batch", "features", "label")
-            held = placed.sortWithinPartitions("batch").persist(StorageLevel.MEMORY_AND_DISK)
+            held = None
+            if self.batch_size != 0:
+                placed = self._batched([epoch]).select("batch", "features", "label")
+                held = placed.sortWithinPartitions("batch").persist(StorageLevel.MEMORY_AND_DISK)
             started = time.perf_counter()
             try:
                 for batch in range(self.num_batches):
-                    rows = held.where(F.col("batch") == batch)
-                    w = _finite(w - self.rate(epoch) * self._gradient(rows, w, self.batch_size), epoch)
+                    rows = self.examples if held is None else held.where(F.col("batch") == batch)
+                    tasks = tasks or rows.rdd.getNumPartitions()
+                    gradient = self._gradient_sum(rows, w, tasks) / (self.batch_size or self.n_rows)
+                    w = _finite(w - self.rate(epoch) * gradient, epoch)
             finally:
-                held.unpersist()
+                if held is not None:
+                    held.unpersist()
             self._timed(epoch, "gradient", started)
         return w
 
-    def _gradient(self, rows: DataFrame, w: np.ndarray, size: int) -> np.ndarray:
-        """Average gradient of the given rows."""
+    def _gradient_sum(self, rows: DataFrame, w: np.ndarray, tasks: int) -> np.ndarray:
+        """Sum of the row gradients: each task adds up its rows; the few partial sums meet on the driver or in a shuffle."""
         n = self.n_features
-        if n <= V.UNROLL:
-            # the weights as one array literal keep the generated code of all batches the same
-            resid = rows.select("features", linear.residual(V.vector_literal(w)).alias("resid"))
-            sums = [F.sum(F.col("resid") * x) for x in V.entries(F.col("features"), n)]
-            return np.array(resid.agg(*sums).first(), dtype=np.float64) / size
-        parts = rows.select("features", F.col("label").cast("double").alias("label")).mapInArrow(
-            _partial_gradient(w, n), "part array<double>"
-        )
+        numbers = rows.select("features", F.col("label").cast("double").alias("label"))
+        parts = numbers.mapInArrow(_partial_gradient(w, n), "part array<double>")
+        if tasks * n * 8 <= DRIVER_BYTES:
+            return np.sum([p.values.to_numpy() for p in parts.toArrow().column("part")], axis=0, initial=0.0)
         sums = parts.select(F.posexplode("part").alias("j", "value")).groupBy("j").agg(F.sum("value").alias("value")).toArrow()
         gradient = np.zeros(n)
         gradient[sums.column("j").to_numpy()] = sums.column("value").to_numpy()
-        return gradient / size
+        return gradient
 
 
 def _partial_gradient(w: np.ndarray, n: int):
@@ -418,7 +418,10 @@ def _partial_gradient(w: np.ndarray, n: int):
         held = np.zeros(n)
         for table in tables:
             if table.num_rows:
-                x = table.column("features").flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, n)
+                flat = table.column("features").flatten().to_numpy(zero_copy_only=False)
+                if flat.size != table.num_rows * n:
+                    raise ValueError(f"every row must hold {n} features")
+                x = flat.reshape(table.num_rows, n)
                 held += (x @ w - table.column("label").to_numpy(zero_copy_only=False)) @ x
         yield pa.RecordBatch.from_arrays([pa.array([held], type=pa.list_(pa.float64()))], names=["part"])
 

@@ -61,6 +61,7 @@ def test_batches_need_no_sort_or_shuffle_of_the_table(stored):
     text = plan(ordering.assign_batches(stored, 500))
     assert "Window" not in text and "Sort" not in text
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    assert "lambda" not in text
 
 
 def test_windows_are_partitioned(stored):
