@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,3 +77,8 @@ def total(vector: Column) -> Column:
 def as_doubles(vector: Column) -> Column:
     """Cast a numeric array to ``array<double>``."""
     return vector.cast("array<double>")
+
+
+def vector_sum(vector: Column) -> Column:
+    """Aggregate: sum of equally long vectors, reduced in each task first and never spread into cells."""
+    return vector_to_array(Summarizer.sum(array_to_vector(vector)))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from gradlake.functions import vectors as V
 from gradlake.functions.half import to_half
 from gradlake.functions.seeded import normal, uniform_value
+from gradlake.sources.examples import write_examples_csv
+from gradlake.sources.weights import write_weights_csv
 
 
 def true_coefficients(n_features: int, seed: int = 42) -> list[float]:
@@ -84,3 +86,23 @@ def half_precision(examples: DataFrame) -> DataFrame:
 def write_family(family: DataFrame, path: str, by: str) -> None:
     """One folder per member, so that reading one member touches only its files."""
     family.write.partitionBy(by).parquet(path)
+
+
+def write_data_set(examples: DataFrame, coefficients: Sequence[float], stem: str) -> None:
+    """``<stem>.csv`` with features and label, and ``<stem>_weights.csv`` with the true coefficients."""
+    write_examples_csv(examples, f"{stem}.csv", len(coefficients))
+    write_weights_csv(examples.sparkSession, list(coefficients), f"{stem}_weights.csv")
+
+
+def write_feature_family(ids: DataFrame, sizes: Sequence[int], stem: str, noise: float = 0.0, seed: int = 42) -> None:
+    """One data set per number of features, in half precision, named ``<stem>-<features>``."""
+    for size in sizes:
+        made = half_precision(generate_regression(ids, int(size), noise, seed))
+        write_data_set(made, true_coefficients(int(size), seed), f"{stem}-{size}")
+
+
+def write_nested_family(base: DataFrame, coefficients: Sequence[float], sizes: Sequence[int], stem: str) -> None:
+    """The first ``k`` rows of a base set for each ``k`` as ``<stem>-<k>.csv``, and its coefficients once."""
+    for size in sizes:
+        write_examples_csv(base.where(F.col("row_id") < int(size)), f"{stem}-{size}.csv", len(coefficients))
+    write_weights_csv(base.sparkSession, list(coefficients), f"{stem}_weights.csv")

@@ -50,10 +50,8 @@ def batch_gradients(batched: DataFrame, w: Sequence[float], batch_size: int, key
         x = V.entries(F.col("features"), n)
         sums = [F.sum(F.col("resid") * x[i]) / F.lit(float(batch_size)) for i in range(n)]
         return with_residual.groupBy(*keys).agg(F.array(*sums).alias("gradient"))
-    parts = with_residual.select(*keys, F.posexplode(V.scale(F.col("features"), F.col("resid"))).alias("col", "value"))
-    sums = parts.groupBy(*keys, "col").agg((F.sum("value") / F.lit(float(batch_size))).alias("value"))
-    ordered = F.array_sort(F.collect_list(F.struct("col", "value")))
-    return sums.groupBy(*keys).agg(F.transform(ordered, lambda c: c["value"]).alias("gradient"))
+    sums = with_residual.groupBy(*keys).agg(V.vector_sum(V.scale(F.col("features"), F.col("resid"))).alias("total"))
+    return sums.select(*keys, V.divide(F.col("total"), float(batch_size)).alias("gradient"))
 
 
 def predict_with_table(examples: DataFrame, weights_row: DataFrame, row_id: str = "row_id") -> DataFrame:

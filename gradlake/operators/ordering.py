@@ -272,6 +272,9 @@ def prefix(df: DataFrame, rows: int, row_id: str = "row_id") -> DataFrame:
     return df.where(F.col(row_id) < rows)
 
 
-def natural_order(df: DataFrame, name: str) -> DataFrame:
-    """Sort names as people expect, numbers by value and text as text (a range-partitioned sort)."""
-    return df.orderBy(natural_key(F.col(name)), F.col(name))
+def natural_order(df: DataFrame, name: str, *ties: str) -> DataFrame:
+    """Sort names as people expect, numbers by value and text as text (a range-partitioned sort).
+
+    ``ties`` orders rows of the same name and lets the sort split a name that very many rows share.
+    """
+    return df.orderBy(natural_key(F.col(name)), F.col(name), *ties)

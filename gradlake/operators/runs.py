@@ -8,10 +8,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def one_per_setting(runs: DataFrame, measure: str, param: str) -> DataFrame:
+    """``param`` and the measure, failing when a setting has more than one run.
+
+    The check is an aggregate, so a setting that was run very often stays one row and is never paired with itself.
+    """
+    message = F.lit("more than one run for the same setting")
+    only = F.when(F.count("*") > 1, F.raise_error(message).cast("double")).otherwise(F.max(F.col(measure).cast("double")))
+    return runs.groupBy(param).agg(only.alias(measure))
+
+
 def compare_runs(a: DataFrame, b: DataFrame, measure: str, param: str = "param_value") -> DataFrame:
     """One measure of two sets of runs side by side, by parameter."""
-    left = a.select(param, F.col(measure).alias(f"{measure}_a"))
-    right = b.select(param, F.col(measure).alias(f"{measure}_b"))
+    left = one_per_setting(a, measure, param).withColumnRenamed(measure, f"{measure}_a")
+    right = one_per_setting(b, measure, param).withColumnRenamed(measure, f"{measure}_b")
     return left.join(right, param)
 
 
@@ -26,7 +36,7 @@ def unmatched_settings(a: DataFrame, b: DataFrame, param: str = "param_value") -
 
 def only_in(a: DataFrame, b: DataFrame, param: str = "param_value") -> DataFrame:
     """Parameter settings of ``a`` that ``b`` lacks."""
-    return a.select(param).distinct().join(b.select(param), param, "left_anti")
+    return a.select(param).distinct().join(b.select(param).distinct(), param, "left_anti")
 
 
 def require_same_settings(a: DataFrame, b: DataFrame, param: str = "param_value") -> None:

@@ -279,8 +279,7 @@ class _Run:
             found = S.narrow_moments(self.examples, n).toArrow()
             g, c = S.narrow_arrays({k: found.column(k).to_numpy() for k in found.column_names}, n)
         else:
-            cells = S.wide_moments(self.examples, n).toArrow()
-            sums = _symmetric(cells, n)
+            sums = S.symmetric()(S.wide_moments(self.examples, n).toArrow(), n)
             g, c = sums[None, :n, :n], sums[None, :n, n]
         self._timed(self.epochs, "gradient", started)
         for epoch in range(1, self.epochs + 1):
@@ -404,10 +403,7 @@ class _Run:
         parts = numbers.mapInArrow(_partial_gradient(w, n), "part array<double>")
         if tasks * n * 8 <= DRIVER_BYTES:
             return np.sum([p.values.to_numpy() for p in parts.toArrow().column("part")], axis=0, initial=0.0)
-        sums = parts.select(F.posexplode("part").alias("j", "value")).groupBy("j").agg(F.sum("value").alias("value")).toArrow()
-        gradient = np.zeros(n)
-        gradient[sums.column("j").to_numpy()] = sums.column("value").to_numpy()
-        return gradient
+        return np.array(parts.agg(V.vector_sum(F.col("part"))).first()[0])
 
 
 def _partial_gradient(w: np.ndarray, n: int):
@@ -428,13 +424,6 @@ def _partial_gradient(w: np.ndarray, n: int):
     return sums
 
 
-def _symmetric(cells, n_features: int) -> np.ndarray:
-    i, j = cells.column("i").to_numpy(), cells.column("j").to_numpy()
-    sums = np.zeros((n_features + 1, n_features + 1))
-    sums[i, j] = sums[j, i] = cells.column("value").to_numpy()
-    return sums
-
-
 def _finite(w: np.ndarray, epoch: int) -> np.ndarray:
     if not np.isfinite(w).all():
         raise FloatingPointError(f"the weights left the range of numbers in epoch {epoch}; use a smaller learning rate")

@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradlake.plans.moments import symmetric
+
 GROUP_BYTES = 64 * 2**20
 PIECE_SCHEMA = "epoch int, batch bigint, whole boolean, data array<double>"
 
@@ -120,16 +122,10 @@ def block_pieces(
 
 def moment_pieces(moments: DataFrame, n_features: int) -> DataFrame:
     """One piece per batch from :func:`gradlake.plans.moments.wide_moments`; a group holds one triangle."""
-    c = n_features
-    pack = piece_table()
+    pack, matrix = piece_table(), symmetric()
 
     def fold(key, table):
-        import numpy as np
-
-        i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-        sums = np.zeros((c + 1, c + 1))
-        sums[i, j] = sums[j, i] = table.column("value").to_numpy()
-        return pack(key[0].as_py(), [(key[1].as_py(), False, sums)])
+        return pack(key[0].as_py(), [(key[1].as_py(), False, matrix(table, n_features))])
 
     return moments.groupBy("epoch", "batch").applyInArrow(fold, PIECE_SCHEMA)
 

@@ -6,7 +6,7 @@ add up over any split of a batch: tasks reduce their own rows first and no batch
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,10 +48,10 @@ def narrow_arrays(columns: dict[str, np.ndarray], n_features: int) -> tuple[np.n
 
 
 def wide_moments(batched: DataFrame, n_features: int, keys: Sequence[str] = ()) -> DataFrame:
-    """``keys, i, j, value`` with i <= j, where index ``n_features`` stands for the label.
+    """``keys, i, part``: row ``i`` of the sums from the diagonal on, where index ``n_features`` stands for the label.
 
     A task sums its rows with a matrix product per batch and hands on what it has when its memory share is full, which is
-    exact since partial sums add up.
+    exact since partial sums add up. The parts meet as whole vectors, one row of the matrix per reducer key.
     """
     keys = list(keys)
     c = n_features
@@ -100,5 +100,18 @@ def wide_moments(batched: DataFrame, n_features: int, keys: Sequence[str] = ())
     columns = [*[F.col(k).cast("bigint").alias(k) for k in keys], F.col("features"), F.col("label")]
     schema = ", ".join([*[f"{k} bigint" for k in keys], "i int", "part array<double>"])
     parts = _checked(batched, n_features).select(*columns).mapInArrow(partial_sums, schema)
-    cells = parts.select(*keys, "i", F.posexplode("part").alias("offset", "value"))
-    return cells.groupBy(*keys, "i", (F.col("i") + F.col("offset")).alias("j")).agg(F.sum("value").alias("value"))
+    return parts.groupBy(*keys, "i").agg(V.vector_sum(F.col("part")).alias("part"))
+
+
+def symmetric() -> Callable:
+    """A function that puts the rows of :func:`wide_moments` for one batch together as a full matrix."""
+
+    def matrix(table, n_features):
+        import numpy as np
+
+        sums = np.zeros((n_features + 1, n_features + 1))
+        for i, part in zip(table.column("i").to_pylist(), table.column("part")):
+            sums[i, i:] = sums[i:, i] = part.values.to_numpy()
+        return sums
+
+    return matrix

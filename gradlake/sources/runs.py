@@ -24,6 +24,13 @@ def write_run(spark: SparkSession, record: dict[str, float], folder: str, name:
     return path
 
 
+def write_sweep(runs: DataFrame, folder: str, name: str) -> list[str]:
+    """Write each run of a sweep as its own record; a sweep holds one row per setting."""
+    spark = runs.sparkSession
+    rows = runs.select("param_value", "codepath", *MEASURES).collect()
+    return [write_run(spark, r.asDict(), folder, name, r["param_value"], r["codepath"]) for r in rows]
+
+
 def write_runs(runs: DataFrame, path: str) -> None:
     """Append many run records, one JSON object per line."""
     runs.write.mode("append").json(path)

@@ -54,12 +54,19 @@ def test_blocks_of_a_few_batches_and_tree(examples, monkeypatch):
     monkeypatch.setattr(P, "BLOCK_BYTES", 3 * 20 * 6 * 8)
     monkeypatch.setattr(P, "DRIVER_BYTES", 4 * 36 * 8)
     monkeypatch.setattr(maps, "GROUP_BYTES", 4 * 36 * 8)
-    for b in (20, 33, 55):
+    for b in (20, 33, 55, 150):
         for shuffle in (True, False):
             found = P.fit(examples(x, y), 0.1, 2, b, w0=[0.0] * 5, strategy="blocks", shuffle=shuffle)
             np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 2, b, shuffle), rtol=1e-9)
 
 
+def test_loop_sums_in_a_shuffle_when_the_tasks_are_many(examples, monkeypatch):
+    x, y = data(200, 4)
+    monkeypatch.setattr(P, "DRIVER_BYTES", 0)
+    found = P.fit(examples(x, y), 0.1, 1, 50, w0=[0.0] * 4, strategy="loop")
+    np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 1, 50), rtol=1e-9)
+
+
 def test_one_epoch_at_a_time(examples, monkeypatch):
     x, y = data(300, 3)
     want = reference_loop(x, y, 0.1, 3, 50)

@@ -11,6 +11,10 @@ from gradlake.operators import generate as G
 from gradlake.operators import linear, matrix
 from gradlake.operators import runs as R
 from gradlake.operators.ordering import assign_batches
+from gradlake.plans.sweep import sweep
+from gradlake.sources.examples import read_examples_csv
+from gradlake.sources.runs import read_runs, write_sweep
+from gradlake.sources.weights import read_weights_csv, weights_from_long
 
 RNG = np.random.default_rng(11)
 
@@ -150,3 +154,29 @@ def test_unmatched_settings(spark):
     assert [tuple(r) for r in R.only_in(a, b).collect()] == [(1,)]
     with pytest.raises(ValueError, match="different settings"):
         R.require_same_settings(a, b)
+
+
+def test_a_setting_that_ran_twice_is_refused(spark):
+    a = runs(spark, {1: 1.0, 2: 1.0})
+    with pytest.raises(Exception, match="more than one run"):
+        R.compare_runs(a.union(a), a, "gpu_time").collect()
+
+
+def test_data_sets_and_sweep_on_files(spark, tmp_path):
+    """Generate a family, train on each member read back from its file, and read the run records."""
+    ids = spark.range(200).withColumnRenamed("id", "row_id")
+    G.write_feature_family(ids, [2, 3], f"{tmp_path}/features", seed=9)
+    base, w = G.make_linear(spark, 300, 2, seed=9)
+    G.write_nested_family(base, w, [100, 300], f"{tmp_path}/rows")
+    assert weights_from_long(read_weights_csv(spark, f"{tmp_path}/rows_weights.csv", 2)).first()["w"] == w
+    assert read_examples_csv(spark, f"{tmp_path}/rows-100.csv", 2, 100).count() == 100
+
+    def member(size):
+        return read_examples_csv(spark, f"{tmp_path}/features-{size}.csv", size, 200)
+
+    swept = sweep(member, "features", [2, 3], lr=0.5, epochs=3, batch_size=20)
+    write_sweep(swept, f"{tmp_path}/runs", "features")
+    found = read_runs(spark, f"{tmp_path}/runs").orderBy("param_value").collect()
+    assert [(r["run_id"], r["param_value"]) for r in found] == [("features-2-fold", 2), ("features-3-fold", 3)]
+    assert [r["error"] for r in found] == [r["error"] for r in swept.orderBy("param_value").collect()]
+    assert max(r["error"] for r in found) < 1.0

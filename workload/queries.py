@@ -376,7 +376,7 @@ def natural_sort(spark, sf_dir):
     """Customers by the number in their name, without its leading zeros; the position comes from the sorted table."""
     short = F.concat(F.lit("c"), numeric_suffix(F.col("c_name")).cast("string"), F.lit(".json"))
     named = table(spark, sf_dir, "customer").select("c_custkey", short.alias("name"))
-    placed = sources.with_row_id(ordering.natural_order(named, "name"))
+    placed = sources.with_row_id(ordering.natural_order(named, "name", "c_custkey"))
     return placed.select("c_custkey", "name", F.col("row_id").alias("pos"))
 
 
