@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradlake.functions.names import natural_key
@@ -134,11 +134,15 @@ def epoch_permutation(
     starts = order.starts.ravel()
     lookup = _lookup(df.sparkSession, order.per_bucket() | {"first_pos": starts}, {"first_pos": pa.int64()})
     keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, len(starts))
+    return keyed.withColumn("pos", F.col("first_pos") + _rank()).drop("order_key", "bucket", "first_pos")
+
+
+def _rank() -> Column:
+    """0-based rank of a row inside its bucket; equal neighbours are an error."""
     inside = Window.partitionBy("epoch", "bucket").orderBy("order_key")
     repeated = F.lag("order_key").over(inside) == F.col("order_key")
-    pos = F.col("first_pos") + F.row_number().over(inside) - 1
-    checked = F.when(repeated, F.raise_error(F.lit("row ids repeat")).cast("bigint")).otherwise(pos)
-    return keyed.withColumn("pos", checked).drop("order_key", "bucket", "first_pos")
+    rank = F.row_number().over(inside).cast("bigint") - 1
+    return F.when(repeated, F.raise_error(F.lit("row ids repeat")).cast("bigint")).otherwise(rank)
 
 
 def _cuts(order: EpochOrder, unit_rows: int, end: int) -> dict[tuple[int, int], list[int]]:
@@ -166,8 +170,7 @@ def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list
     )
     entries = len(cuts) + sum(len(ranks) for ranks in cuts.values())
     keyed = _attach(with_keys(df.select(row_id), order.epochs, order.seed, order.bits, row_id), lookup, entries)
-    inside = Window.partitionBy("epoch", "bucket").orderBy("order_key")
-    ranked = keyed.withColumn("rank", F.row_number().over(inside).cast("bigint") - 1)
+    ranked = keyed.withColumn("rank", _rank())
     found = ranked.where(F.array_contains("ranks", F.col("rank"))).select("epoch", "bucket", "order_key").toArrow()
     keys: dict[tuple[int, int], list[str]] = {}
     for e, b, k in zip(*[found.column(c).to_pylist() for c in ("epoch", "bucket", "order_key")]):

@@ -86,8 +86,12 @@ def block_pieces(
         import pyarrow.compute as pc
 
         epoch, block = key[0].as_py(), key[1].as_py()
-        order = pc.sort_indices(table, sort_keys=[("order_key", "ascending")]).to_numpy()
+        keys = table.column("order_key").combine_chunks()
+        places = pc.sort_indices(keys)
+        keys, order = keys.take(places), places.to_numpy()
         n = table.num_rows
+        if pc.any(pc.equal(keys[1:], keys[:-1])).as_py():
+            raise ValueError("row ids repeat")
         if n > most_rows:
             raise ValueError(f"block {block} of epoch {epoch} holds {n} rows")
         flat = pc.list_flatten(table.column("features").combine_chunks()).to_numpy()

@@ -141,6 +141,14 @@ def test_ragged_rows_fail(spark, c, strategy):
         P.fit(df, 0.1, 1, 10, n_features=c, strategy=strategy)
 
 
+@pytest.mark.parametrize("strategy", ["fold", "blocks"])
+def test_repeated_ids_fail(examples, strategy):
+    x, y = data(100, 2)
+    rows = examples(x, y)
+    with pytest.raises(Exception, match="row ids repeat"):
+        P.fit(rows.union(rows), 0.1, 1, 3, strategy=strategy)
+
+
 def test_run_record_counts_each_phase_once(spark, examples):
     x, y = data(200, 2)
     result, error = P.fit_and_score(examples(x, y), 0.1, 2, 50)
