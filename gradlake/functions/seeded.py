@@ -9,10 +9,12 @@ from __future__ import annotations
 import hashlib
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO_32 = 4294967296.0
+ORDER_PRIME = 2**31 - 1
+KEY_BITS = 62
 
 
 def digest(*parts: Column | int | str) -> Column:
@@ -21,9 +23,22 @@ def digest(*parts: Column | int | str) -> Column:
     return F.md5(F.concat_ws(":", *columns))
 
 
-def order_key(row_id: Column, epoch: Column | int, seed: int) -> Column:
-    """Sort key of a row in one epoch; sorting by it is a uniform random permutation."""
-    return digest(seed, epoch, row_id)
+def order_words(df: DataFrame, row_id: str, seed: int) -> DataFrame:
+    """Add four random numbers ``_w0 .. _w3`` below :data:`ORDER_PRIME` for each row, all from one digest."""
+    text = df.withColumn("_text", digest(seed, F.col(row_id)))
+    words = {f"_w{k}": F.conv(F.substring("_text", 8 * k + 1, 8), 16, 10).cast("bigint") % ORDER_PRIME for k in range(4)}
+    return text.withColumns(words).drop("_text")
+
+
+def order_key(epoch: Column) -> Column:
+    """Sort key of a row in one epoch, from its :func:`order_words`; sorting by it is a random permutation.
+
+    ``w0 * epoch + w1`` modulo a prime is uniform, and independent between any two epochs. The digest is the costly part and
+    serves all epochs. Equal keys are possible in very large tables, so the row id always comes second.
+    """
+    high = (F.col("_w0") * epoch + F.col("_w1")) % ORDER_PRIME
+    low = (F.col("_w2") * epoch + F.col("_w3")) % ORDER_PRIME
+    return high * 2**31 + low
 
 
 def _unit(text: Column, start: int) -> Column:

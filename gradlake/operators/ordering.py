@@ -1,6 +1,6 @@
 """Exact random order of a table, batch assignment and gathers, without a global sort.
 
-Each row has an MD5 key per epoch. The leading bits of the key split the rows into equally filled, ordered buckets, so
+Each row has a random key per epoch. The leading bits of the key split the rows into equally filled, ordered buckets, so
 
 * the position of a row is the number of rows in earlier buckets plus its rank inside its own small bucket, and
 * the row that starts a batch is found by ranking only the buckets in which a batch starts. Every other row gets its batch
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradlake.functions.names import natural_key
-from gradlake.functions.seeded import order_key
+from gradlake.functions.seeded import KEY_BITS, order_key, order_words
 
 # A task counts its own rows per bucket first, so the buckets must stay few against the rows of a task.
 FEW_BITS = 12
@@ -29,7 +29,7 @@ MOST_BITS = 20
 ROWS_FOR_FEW_BITS = 2**32  # beyond this a bucket of few bits would hold more than a million rows
 MAX_BUCKETS = 2**20  # buckets of all epochs measured together
 MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, about 100 MB
-LOWEST_KEY, HIGHEST_KEY = "", "g"  # around every text of hex digits
+LOWEST, HIGHEST = (-1, 0), (2**KEY_BITS, 0)  # around every key and id
 
 
 @dataclass(frozen=True)
@@ -67,17 +67,16 @@ class EpochOrder:
 def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, bits: int, row_id: str = "row_id") -> DataFrame:
     """Repeat every row once per epoch and add its ``order_key`` and ``bucket``, the leading bits of the key."""
     wanted = F.array(*[F.lit(int(e)) for e in epochs])
-    keyed = df.withColumn("epoch", F.explode(wanted)).withColumn("order_key", order_key(F.col(row_id), F.col("epoch"), seed))
-    digits = -(-bits // 4)
+    keyed = order_words(df, row_id, seed).withColumn("epoch", F.explode(wanted)).withColumn("order_key", order_key(F.col("epoch")))
     # never null, and declared so: otherwise each join on the bucket computes the key once more to filter out nulls
-    leading = F.coalesce(F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int"), F.lit(0))
-    return keyed.withColumn("bucket", F.shiftright(leading, 4 * digits - bits))
+    leading = F.coalesce(F.shiftright("order_key", KEY_BITS - bits).cast("int"), F.lit(0))
+    return keyed.withColumn("bucket", leading).drop("_w0", "_w1", "_w2", "_w3")
 
 
 def default_bits(rows: int, units: int = 1) -> int:
     """Enough buckets that one holds at most some million rows and few cuts."""
     bits = FEW_BITS if rows <= ROWS_FOR_FEW_BITS else MANY_BITS
-    return max(bits, min(MOST_BITS - 2, units.bit_length()))
+    return max(bits, min(MOST_BITS - 2, units.bit_length() + 2))
 
 
 def epochs_per_pass(bits: int = FEW_BITS) -> int:
@@ -134,13 +133,13 @@ def epoch_permutation(
     starts = order.starts.ravel()
     lookup = _lookup(df.sparkSession, order.per_bucket() | {"first_pos": starts}, {"first_pos": pa.int64()})
     keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, len(starts))
-    return keyed.withColumn("pos", F.col("first_pos") + _rank()).drop("order_key", "bucket", "first_pos")
+    return keyed.withColumn("pos", F.col("first_pos") + _rank(row_id)).drop("order_key", "bucket", "first_pos")
 
 
-def _rank() -> Column:
+def _rank(row_id: str) -> Column:
     """0-based rank of a row inside its bucket; equal neighbours are an error."""
-    inside = Window.partitionBy("epoch", "bucket").orderBy("order_key")
-    repeated = F.lag("order_key").over(inside) == F.col("order_key")
+    inside = Window.partitionBy("epoch", "bucket").orderBy("order_key", row_id)
+    repeated = F.lag(row_id).over(inside) == F.col(row_id)
     rank = F.row_number().over(inside).cast("bigint") - 1
     return F.when(repeated, F.raise_error(F.lit("row ids repeat")).cast("bigint")).otherwise(rank)
 
@@ -159,8 +158,8 @@ def _cuts(order: EpochOrder, unit_rows: int, end: int) -> dict[tuple[int, int],
     return cuts
 
 
-def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list[int]], row_id: str) -> dict[tuple[int, int], list[str]]:
-    """The keys of the rows at the given ranks. Ranks only the buckets that hold a cut, and reads the id column only."""
+def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list[int]], row_id: str) -> dict[tuple[int, int], list]:
+    """Key and id of the rows at the given ranks. Ranks only the buckets that hold a cut, and reads the id column only."""
     if not cuts:
         return {}
     lookup = _lookup(
@@ -170,11 +169,11 @@ def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list
     )
     entries = len(cuts) + sum(len(ranks) for ranks in cuts.values())
     keyed = _attach(with_keys(df.select(row_id), order.epochs, order.seed, order.bits, row_id), lookup, entries)
-    ranked = keyed.withColumn("rank", _rank())
-    found = ranked.where(F.array_contains("ranks", F.col("rank"))).select("epoch", "bucket", "order_key").toArrow()
-    keys: dict[tuple[int, int], list[str]] = {}
-    for e, b, k in zip(*[found.column(c).to_pylist() for c in ("epoch", "bucket", "order_key")]):
-        keys.setdefault((e, b), []).append(k)
+    ranked = keyed.withColumn("rank", _rank(row_id)).where(F.array_contains("ranks", F.col("rank")))
+    found = ranked.select("epoch", "bucket", "order_key", row_id).toArrow()
+    keys: dict[tuple[int, int], list] = {}
+    for e, b, k, r in zip(*[c.to_pylist() for c in found.columns]):
+        keys.setdefault((e, b), []).append((k, r))
     return {place: sorted(ks) for place, ks in keys.items()}
 
 
@@ -189,11 +188,11 @@ def assign_units(
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
     firsts = np.where(order.starts < end, order.starts // unit_rows, units).ravel()
     wanted = ((order.counts.ravel() > 0) & (firsts < units)).nonzero()[0]
-    # a bucket with cuts has one line per interval between them: low <= key < high
+    # a bucket with cuts has one line per interval between them: low <= (key, id) < high
     lines = order.per_bucket() | {"unit": firsts}
     lines = {name: values[wanted].tolist() for name, values in lines.items()} | {
-        "low": [LOWEST_KEY] * len(wanted),
-        "high": [HIGHEST_KEY] * len(wanted),
+        "low": [LOWEST] * len(wanted),
+        "high": [HIGHEST] * len(wanted),
     }
     if keys:
         at = {place: i for i, place in enumerate(zip(lines["epoch"], lines["bucket"]))}
@@ -201,15 +200,20 @@ def assign_units(
             i = at[epoch, bucket]
             lines["high"][i] = found[0]
             first = lines["unit"][i]
-            for k, (low, high) in enumerate(zip(found, [*found[1:], HIGHEST_KEY]), 1):
+            for k, (low, high) in enumerate(zip(found, [*found[1:], HIGHEST]), 1):
                 if first + k < units:
                     for name, value in zip(lines, (epoch, bucket, first + k, low, high)):
                         lines[name].append(value)
-    lookup = _lookup(df.sparkSession, lines, {"unit": pa.int64(), "low": pa.string(), "high": pa.string()})
+    low, high = lines.pop("low"), lines.pop("high")
+    lines |= {"low_key": [k for k, _ in low], "low_id": [r for _, r in low]}
+    lines |= {"high_key": [k for k, _ in high], "high_id": [r for _, r in high]}
+    lookup = _lookup(df.sparkSession, lines, dict.fromkeys(lines, pa.int64()) | {"epoch": pa.int32(), "bucket": pa.int32()})
     keyed = with_keys(df, order.epochs, order.seed, order.bits, row_id)
     placed = _attach(keyed, lookup.withColumnRenamed("unit", unit), len(lines["unit"]))
-    inside = (F.col("order_key") >= F.col("low")) & (F.col("order_key") < F.col("high"))
-    return placed.where(inside).drop("order_key", "bucket", "low", "high")
+    key, r = F.col("order_key"), F.col(row_id)
+    after_low = (key > F.col("low_key")) | ((key == F.col("low_key")) & (r >= F.col("low_id")))
+    before_high = (key < F.col("high_key")) | ((key == F.col("high_key")) & (r < F.col("high_id")))
+    return placed.where(after_low & before_high).drop("order_key", "bucket", "low_key", "low_id", "high_key", "high_id")
 
 
 def assign_runs(df: DataFrame, order: EpochOrder, rows: int, end: int, row_id: str = "row_id") -> DataFrame:

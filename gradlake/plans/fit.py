@@ -343,9 +343,8 @@ class _Run:
                 order = self._order_of(epochs, bits)
                 placed, most = assign_runs(self.examples, order, rows, end), rows + int(order.counts.max())
             else:
-                # ids of equal width sort as text in the order of their numbers
                 placed = self._in_row_order(epochs, rows, "block").withColumn("first_pos", F.col("block") * rows)
-                placed, most = placed.withColumn("order_key", F.lpad(F.col("row_id").cast("string"), 20, "0")), rows
+                placed, most = placed.withColumn("order_key", F.col("row_id")), rows
             rates = {e: self.rate(e) for e in epochs}
             found = M.block_pieces(placed, self.n_features, self.batch_size, self.num_batches, rates, most)
             w = self._apply(w, found, 3 * -(-self.n_rows // rows), epochs)

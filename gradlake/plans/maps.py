@@ -86,11 +86,10 @@ def block_pieces(
         import pyarrow.compute as pc
 
         epoch, block = key[0].as_py(), key[1].as_py()
-        keys = table.column("order_key").combine_chunks()
-        places = pc.sort_indices(keys)
-        keys, order = keys.take(places), places.to_numpy()
+        ids = table.column("row_id").to_numpy()
+        order = np.lexsort((ids, table.column("order_key").to_numpy()))
         n = table.num_rows
-        if pc.any(pc.equal(keys[1:], keys[:-1])).as_py():
+        if (ids[order[1:]] == ids[order[:-1]]).any():
             raise ValueError("row ids repeat")
         if n > most_rows:
             raise ValueError(f"block {block} of epoch {epoch} holds {n} rows")
@@ -120,7 +119,7 @@ def block_pieces(
             pieces.append((head // b, True, run))
         return pack(epoch, pieces)
 
-    columns = ["epoch", "block", "first_pos", "order_key", "features", F.col("label").cast("double").alias("label")]
+    columns = ["epoch", "block", "first_pos", "order_key", "row_id", "features", F.col("label").cast("double").alias("label")]
     return rows.select(*columns).groupBy("epoch", "block").applyInArrow(compose_rows, PIECE_SCHEMA)
 
 

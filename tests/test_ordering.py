@@ -11,7 +11,12 @@ from gradlake.operators import ordering as O
 
 
 def expected_order(ids, epoch, seed=42):
-    return sorted(ids, key=lambda i: hashlib.md5(f"{seed}:{epoch}:{i}".encode()).hexdigest())
+    def key(i):
+        text = hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
+        w = [int(text[8 * k : 8 * k + 8], 16) % (2**31 - 1) for k in range(4)]
+        return (w[0] * epoch + w[1]) % (2**31 - 1), (w[2] * epoch + w[3]) % (2**31 - 1), i
+
+    return sorted(ids, key=key)
 
 
 @pytest.fixture
@@ -122,3 +127,20 @@ def test_runs_of_buckets(ids, rows):
         first = {block: min(i for i, f in enumerate(mine) if f[0] == block) for block in {f[0] for f in mine}}
         assert all(first[f[0]] == f[1] for f in mine)
         assert [f[0] for f in mine] == sorted(f[0] for f in mine)
+
+
+def test_orders_of_different_epochs_are_unrelated():
+    """Rank correlation of any two of several epochs stays within what chance allows."""
+    place = np.array([np.argsort(expected_order(range(3000), e)) for e in range(1, 7)])
+    related = np.corrcoef(place) - np.eye(6)
+    assert np.abs(related).max() < 5 / np.sqrt(3000)
+
+
+def test_equal_keys_fall_back_to_the_id(ids, monkeypatch):
+    """With keys of only a few values, cuts fall between rows of the same key."""
+    monkeypatch.setattr(O, "order_key", lambda epoch: (F.col("_w0") % 5) * 2**59)
+    monkeypatch.setattr(O, "_check_fill", lambda order: None)
+    found = O.assign_batches(ids, 70, (1,))
+    assert sorted(r["count"] for r in found.groupBy("batch").count().collect()) == [70] * 42
+    ordered = O.epoch_permutation(ids).select("row_id", F.expr("pos div 70").alias("batch")).where("batch < 42")
+    assert ordered.exceptAll(found.select("row_id", "batch")).count() == 0
