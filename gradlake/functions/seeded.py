@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO_32 = 4294967296.0
-ORDER_PRIME = 2**31 - 1
-KEY_BITS = 62
+WORD_BITS = 30
+ORDER_PRIME = 2**30 - 35  # the largest prime below 2 ** WORD_BITS
+KEY_BITS = 2 * WORD_BITS
 
 
 def digest(*parts: Column | int | str) -> Column:
@@ -24,21 +25,25 @@ def digest(*parts: Column | int | str) -> Column:
 
 
 def order_words(df: DataFrame, row_id: str, seed: int) -> DataFrame:
-    """Add four random numbers ``_w0 .. _w3`` below :data:`ORDER_PRIME` for each row, all from one digest."""
+    """Add two random numbers of 60 bits, ``_high`` and ``_low``, for each row, both from one digest."""
     text = df.withColumn("_text", digest(seed, F.col(row_id)))
-    words = {f"_w{k}": F.conv(F.substring("_text", 8 * k + 1, 8), 16, 10).cast("bigint") % ORDER_PRIME for k in range(4)}
+    words = {name: F.conv(F.substring("_text", at, 15), 16, 10).cast("bigint") for name, at in (("_high", 1), ("_low", 16))}
     return text.withColumns(words).drop("_text")
 
 
 def order_key(epoch: Column) -> Column:
     """Sort key of a row in one epoch, from its :func:`order_words`; sorting by it is a random permutation.
 
-    ``w0 * epoch + w1`` modulo a prime is uniform, and independent between any two epochs. The digest is the costly part and
-    serves all epochs. Equal keys are possible in very large tables, so the row id always comes second.
+    With a number split into two words, ``first * epoch + second`` modulo a prime is uniform, and independent between any two
+    epochs. The digest is the costly part and serves all epochs. Equal keys are possible in very large tables, so the row id
+    always comes second.
     """
-    high = (F.col("_w0") * epoch + F.col("_w1")) % ORDER_PRIME
-    low = (F.col("_w2") * epoch + F.col("_w3")) % ORDER_PRIME
-    return high * 2**31 + low
+
+    def part(word: str) -> Column:
+        first, second = F.shiftright(word, WORD_BITS), F.col(word).bitwiseAND(F.lit(2**WORD_BITS - 1))
+        return (first * epoch + second) % ORDER_PRIME
+
+    return part("_high") * 2**WORD_BITS + part("_low")
 
 
 def _unit(text: Column, start: int) -> Column:

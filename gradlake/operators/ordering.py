@@ -70,7 +70,7 @@ def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, bits: int, row_id
     keyed = order_words(df, row_id, seed).withColumn("epoch", F.explode(wanted)).withColumn("order_key", order_key(F.col("epoch")))
     # never null, and declared so: otherwise each join on the bucket computes the key once more to filter out nulls
     leading = F.coalesce(F.shiftright("order_key", KEY_BITS - bits).cast("int"), F.lit(0))
-    return keyed.withColumn("bucket", leading).drop("_w0", "_w1", "_w2", "_w3")
+    return keyed.withColumn("bucket", leading).drop("_high", "_low")
 
 
 def default_bits(rows: int, units: int = 1) -> int:

@@ -13,8 +13,8 @@ from gradlake.operators import ordering as O
 def expected_order(ids, epoch, seed=42):
     def key(i):
         text = hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
-        w = [int(text[8 * k : 8 * k + 8], 16) % (2**31 - 1) for k in range(4)]
-        return (w[0] * epoch + w[1]) % (2**31 - 1), (w[2] * epoch + w[3]) % (2**31 - 1), i
+        words = [divmod(int(t, 16), 2**30) for t in (text[:15], text[15:30])]
+        return [(a * epoch + b) % (2**30 - 35) for a, b in words], i
 
     return sorted(ids, key=key)
 
@@ -138,7 +138,7 @@ def test_orders_of_different_epochs_are_unrelated():
 
 def test_equal_keys_fall_back_to_the_id(ids, monkeypatch):
     """With keys of only a few values, cuts fall between rows of the same key."""
-    monkeypatch.setattr(O, "order_key", lambda epoch: (F.col("_w0") % 5) * 2**59)
+    monkeypatch.setattr(O, "order_key", lambda epoch: (F.col("_low") % 5) * 2**57)
     monkeypatch.setattr(O, "_check_fill", lambda order: None)
     found = O.assign_batches(ids, 70, (1,))
     assert sorted(r["count"] for r in found.groupBy("batch").count().collect()) == [70] * 42

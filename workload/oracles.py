@@ -36,11 +36,11 @@ def with_(parts: list[str], query: str, recursive: bool = False) -> str:
 
 def positions(source: str, epochs: list[int]) -> str:
     """Every row at its place in the random order of each epoch."""
-    words = ", ".join(f"('0x' || substr(md5('42:' || row_id), {8 * k + 1}, 8))::BIGINT % 2147483647 AS u{k}" for k in range(4))
-    high, low = "(u0 * epoch + u1) % 2147483647", "(u2 * epoch + u3) % 2147483647"
+    words = ", ".join(f"('0x' || substr(md5('42:' || row_id), {at}, 15))::BIGINT AS {name}" for name, at in (("u", 1), ("v", 16)))
+    high, low = (f"((({word} >> 30) * epoch + ({word} & 1073741823)) % 1073741789)" for word in ("u", "v"))
     return f"""drawn AS (SELECT *, {words} FROM {source}),
 placed AS (
-    SELECT * EXCLUDE (u0, u1, u2, u3), row_number() OVER (PARTITION BY epoch ORDER BY {high}, {low}, row_id) - 1 AS pos
+    SELECT * EXCLUDE (u, v), row_number() OVER (PARTITION BY epoch ORDER BY {high}, {low}, row_id) - 1 AS pos
     FROM drawn, (SELECT unnest({epochs})::BIGINT AS epoch))"""
 
 
