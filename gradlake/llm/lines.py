@@ -221,6 +221,8 @@ def without_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     drops = repeated_lines(df, id_column, text, min_chars, broadcast_bytes)
     joined = plain.join(drops, F.col(f"c{row}").cast("bigint") == F.col("doc"), "left").select(*plain.columns, "drops")
 
+    labels = plain.columns
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts, dropped = [], [], []
         for whole, gone in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
@@ -233,7 +235,7 @@ def without_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text"
             counts.append(len(lines))
             dropped.append(len(lines) - len(kept))
         columns = [pa.array(texts, pa.binary()) if i == place else c for i, c in enumerate(batch.columns[:-1])]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*plain.columns, "n_lines", "n_dropped"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*labels, "n_lines", "n_dropped"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
     done = map_batches(joined, run, f"{fields}, n_lines bigint, n_dropped bigint")
