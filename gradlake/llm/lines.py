@@ -32,6 +32,8 @@ BUCKET_HASHES = 1 << 17
 PROBES = 4
 BROADCAST_BYTES = 64 << 20
 SALTS = 8
+#: A key with more than one in so many of the suspected rows is not shuffled.
+HOT_SHARE = 1000
 
 
 def keys_of(text: bytes, min_chars: int = MIN_CHARS) -> list[bytes | None]:
@@ -197,12 +199,18 @@ def repeated_lines(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     filters = materialise(filters_of(hashes, bits), "filters")
     small = (FILTER_BITS // 8 << bits) <= broadcast_bytes
     suspects = materialise((suspects_by_broadcast if small else suspects_by_routing)(docs, filters, bits, min_chars), "suspects")
-    first = suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").drop("last")
+    first = suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
+    first = materialise(first.filter("first < last").drop("last"), "first")
+    # fewer than HOT_SHARE keys can each hold one in HOT_SHARE of the rows: those are matched where their rows lie
+    hot = first.filter(F.col("n") * HOT_SHARE > suspects.count()).select("key", "first")
+    matched = suspects.join(F.broadcast(hot), "key", "left")
+    rare = matched.filter("first is null").select("key", "doc").join(first.join(F.broadcast(hot), "key", "anti").select("key", "first"), "key")
+    matched = matched.filter("first is not null").select("key", "doc", "first").union(rare.select("key", "doc", "first"))
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([hashlib.md5(k).digest() for k in batch.column(1).to_pylist()], pa.binary())], ["doc", "drop"])
 
-    drops = suspects.join(first, "key").filter("doc != first").select("doc", "key")
+    drops = matched.filter("doc != first").select("doc", "key")
     return map_batches(drops, digest, "doc bigint, drop binary").groupBy("doc").agg(F.collect_set("drop").alias("drops"))
 
 
