@@ -35,19 +35,22 @@ def link(keyed: DataFrame, similar: Callable[[Column, Column, Column], Column],
     """Components of nodes that share a key and are similar: ``node`` and ``root``, for linked nodes only.
 
     ``keyed`` has ``key``, ``node`` and ``value``; ``similar(key, value, value)`` tests a pair, and ``verify`` may drop rows of
-    pairs (``a``, ``b``). First every node is held against the smallest node of each of its keys. That joins dense groups without
-    listing their pairs. Then only nodes that lie outside the commonest component of a key are held against the others with that key,
-    so no link between two components is missed.
+    pairs (``a``, ``b``). First every node is held against one node of each of its keys, another one for each key. That joins dense
+    groups without listing their pairs, and settles the keys of two nodes, which most chance meetings are. Then, for keys of three or more,
+    only nodes that lie outside the commonest component of a key are held against the others with that key, so no link between
+    two components is missed.
     """
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("node", "value")).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key", "hub")
-    shared = materialise(keyed.join(hubs, "key"), "shared")
+    hub = F.min_by(F.struct("node", "value"), F.xxhash64("node", "key"))
+    hubs = keyed.groupBy("key").agg(hub.alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    near = (F.col("node") != F.col("hub.node")) & similar(F.col("key"), F.col("value"), F.col("hub.value"))
+    met = materialise(keyed.join(hubs, "key").filter((F.col("n") > 2) | near).withColumn("near", near), "met")
+    shared = met.filter("n > 2")
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         return materialise(verify(materialise(pairs, "pairs")) if verify else pairs, "links")
 
-    near = shared.filter(F.col("node") > F.col("hub.node")).filter(similar(F.col("key"), F.col("value"), F.col("hub.value")))
-    first = checked(near.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+    first = checked(met.filter("near").select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
     roots = connected(first)
     rooted = shared.select("key", "node", "value").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("common"), F.count("*").alias("roots")).filter("roots > 1")
