@@ -354,8 +354,11 @@ def train(pages: list[str], seed: int = 5) -> Labeller:
 
 def fit_pages(df: DataFrame, id_column: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES, most_chars: int = 20_000) -> Labeller:
     """A labeller learned from ``sample`` pages at most, those with the smallest hashes among pages of up to ``most_chars``."""
-    rows = pick(df, id=id_column, html=html).filter(F.length("html").between(1, most_chars))
-    chosen = rows.select(F.xxhash64("id", "html").alias("h"), "html").orderBy("h", "html").limit(sample).collect()
+    rows = pick(df, id=id_column, html=html)
+    # some eight times as many pages as wanted are sorted, however many there are
+    bound = -(1 << 63) + int((1 << 64) * min(1, 8 * sample / max(1, rows.count())))
+    few = rows.select(F.xxhash64("id", "html").alias("h"), "html").filter(F.col("h") <= min(bound, (1 << 63) - 1)).filter(F.length("html").between(1, most_chars))
+    chosen = few.orderBy("h", "html").limit(sample).collect()
     return train([r["html"] for r in chosen])
 
 
