@@ -30,15 +30,30 @@ def entries(vector: Column, n: int) -> list[Column]:
     return [vector.getItem(i) for i in range(n)]
 
 
+def required(value: Column, what: str) -> Column:
+    """``value``, and an error where it is null."""
+    return F.when(value.isNull(), F.raise_error(F.lit(f"{what} must not be null"))).otherwise(value)
+
+
+def of_width(value: Column, vector: Column, n: int | Column) -> Column:
+    """``value``, and an error where ``vector`` is null or has not ``n`` entries."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    return F.when(F.size(vector) == n, value).otherwise(F.raise_error(F.lit("a vector has another width")))
+
+
 def dot(features: Column, w: Vector) -> Column:
-    """Inner product of a vector column with a literal vector or with another vector column."""
+    """Inner product of a vector column with a literal vector or with another vector column of the same width.
+
+    A null vector or one of another width is an error; a null entry gives null.
+    """
+    width = F.size(w) if isinstance(w, Column) else len(w)
     if not isinstance(w, Column):
         if len(w) <= UNROLL:
             terms = [x * F.lit(float(v)) for x, v in zip(entries(features, len(w)), w)]
-            return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+            return of_width(reduce(lambda a, b: a + b, terms, F.lit(0.0)), features, width)
         w = vector_literal(w)
     products = F.zip_with(features, w, lambda x, v: x * v)
-    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    return of_width(F.aggregate(products, F.lit(0.0), lambda total, p: total + p), features, width)
 
 
 def axpy(a: float | Column, x: Column, y: Column) -> Column:

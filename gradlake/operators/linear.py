@@ -34,12 +34,12 @@ def with_gradient(examples: DataFrame, w: V.Vector) -> DataFrame:
 
 def mean_abs_error(examples: DataFrame, w: V.Vector) -> DataFrame:
     """One row: mean absolute error over all rows."""
-    return examples.agg(F.avg(F.abs(residual(w))).alias("mean_abs_error"))
+    return examples.agg(F.avg(F.abs(V.required(residual(w), "label and features"))).alias("mean_abs_error"))
 
 
 def total_loss(examples: DataFrame, w: V.Vector) -> DataFrame:
     """One row: half the sum of squared errors."""
-    return examples.agg(F.sum(half_squared_error(w)).alias("total_loss"))
+    return examples.agg(F.sum(V.required(half_squared_error(w), "label and features")).alias("total_loss"))
 
 
 def batch_gradients(batched: DataFrame, w: Sequence[float], batch_size: int, keys: Sequence[str] = ("batch",)) -> DataFrame:

@@ -73,10 +73,11 @@ def column_sums(
         raise ValueError("cannot divide column sums by zero")
     divisor = F.lit(float(divide_by))
     if n_features is not None and n_features <= V.UNROLL:
-        sums = [F.sum(x) / divisor for x in V.entries(F.col(features), n_features)]
+        vector = F.col(features)
+        sums = [F.sum(V.of_width(x, vector, n_features)) / divisor for x in V.entries(vector, n_features)]
         return df.agg(F.array(*sums).alias("sums")).select(F.posexplode("sums").alias("feature_idx", "total"))
-    cells = df.select(F.posexplode(features).alias("feature_idx", "value"))
-    return cells.groupBy("feature_idx").agg((F.sum("value") / divisor).alias("total"))
+    whole = df.agg(V.vector_sum(F.col(features)).alias("sums"))
+    return whole.select(F.posexplode("sums").alias("feature_idx", "total")).withColumn("total", F.col("total") / divisor)
 
 
 def row_sums(df: DataFrame, row_id: str = "row_id", features: str = "features") -> DataFrame:

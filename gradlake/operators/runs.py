@@ -18,11 +18,21 @@ def one_per_setting(runs: DataFrame, measure: str, param: str) -> DataFrame:
     return runs.groupBy(param).agg(only.alias(measure))
 
 
-def compare_runs(a: DataFrame, b: DataFrame, measure: str, param: str = "param_value") -> DataFrame:
-    """One measure of two sets of runs side by side, by parameter."""
-    left = one_per_setting(a, measure, param).withColumnRenamed(measure, f"{measure}_a")
-    right = one_per_setting(b, measure, param).withColumnRenamed(measure, f"{measure}_b")
-    return left.join(right, param)
+def compare_runs(a: DataFrame, b: DataFrame, measure: str, param: str = "param_value", common_only: bool = False) -> DataFrame:
+    """One measure of two sets of runs side by side, by parameter.
+
+    A setting that only one side has is an error; ``common_only`` leaves such settings out instead.
+    """
+    left = one_per_setting(a, measure, param).select(F.col(param).alias("p"), F.col(measure).alias("x"), F.lit(True).alias("in_a"))
+    right = one_per_setting(b, measure, param).select(F.col(param).alias("q"), F.col(measure).alias("y"), F.lit(True).alias("in_b"))
+    names = [F.col("x").alias(f"{measure}_a"), F.col("y").alias(f"{measure}_b")]
+    if common_only:
+        return left.join(right, F.col("p") == F.col("q")).select(F.col("p").alias(param), *names)
+    joined = left.join(right, F.col("p").eqNullSafe(F.col("q")), "full_outer")
+    alone = F.col("in_a").isNull() | F.col("in_b").isNull()
+    kind = a.schema[param].dataType
+    setting = F.when(alone, F.raise_error(F.lit("the runs hold different settings")).cast(kind)).otherwise(F.col("p"))
+    return joined.select(setting.alias(param), *names)
 
 
 def unmatched_settings(a: DataFrame, b: DataFrame, param: str = "param_value") -> DataFrame:

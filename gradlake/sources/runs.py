@@ -41,21 +41,27 @@ def run_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*\.json)(/[^/]*)?$", 1)
 
 
-def named_records(records: DataFrame) -> DataFrame:
-    """Add what the file name says to freshly read records."""
+#: Records are flat, so each ends at the first closing brace, however it is printed.
+RECORD_END = "}"
+
+
+def named_records(pieces: DataFrame) -> DataFrame:
+    """Parse texts that were cut at ``RECORD_END``, and add what the file name says. Anything but records is an error."""
     name = run_name(F.col("_metadata.file_path"))
+    text = F.regexp_replace("value", r"^[\s,\[]+", "")
+    record = F.from_json(F.concat(text, F.lit(RECORD_END)), RECORD_SCHEMA, {"mode": "FAILFAST"})
+    records = pieces.where(~F.col("value").rlike(r"^[\s,\]]*$")).select(name.alias("name"), record.alias("record"))
     return records.select(
-        file_stem(name).alias("run_id"), run_codepath(name).alias("codepath"), run_parameter(name).alias("param_value"), *MEASURES
-    )
+        file_stem(F.col("name")).alias("run_id"), run_codepath(F.col("name")).alias("codepath"), run_parameter(F.col("name")).alias("param_value"), "record.*"
+    )
 
 
 def read_runs(spark: SparkSession, folder: str) -> DataFrame:
     """``runs(run_id, codepath, param_value, ...five measures...)`` of all records in a folder.
 
-    Records may be printed over several lines, so each file is parsed as a whole.
+    A file may hold many records, one per line or each printed over several lines; large files are split.
     """
-    records = spark.read.schema(RECORD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-    return named_records(records.json(f"{folder.rstrip('/')}/*.json"))
+    return named_records(spark.read.option("lineSep", RECORD_END).text(f"{folder.rstrip('/')}/*.json"))
 
 
 def json_number(text: Column, field: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gradlake.sources.examples import csv_reader, parsed_columns
-from gradlake.sources.runs import RECORD_SCHEMA, named_records
+from gradlake.sources.runs import RECORD_END, named_records
 
 
 def stream_examples_csv(spark: SparkSession, path: str, n_features: int) -> DataFrame:
@@ -18,5 +18,4 @@ def stream_examples_csv(spark: SparkSession, path: str, n_features: int) -> Data
 
 def stream_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Stream of run records as a sweep writes them."""
-    reader = spark.readStream.schema(RECORD_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
-    return named_records(reader.json(f"{folder.rstrip('/')}/*.json"))
+    return named_records(spark.readStream.option("lineSep", RECORD_END).text(f"{folder.rstrip('/')}/*.json"))

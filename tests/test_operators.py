@@ -40,7 +40,7 @@ def test_vectors(examples):
     w = list(RNG.normal(size=30))
     row = df.orderBy("row_id").select(
         V.dot(F.col("features"), w).alias("wide"),
-        V.dot(F.col("features"), w[:4]).alias("narrow"),
+        V.dot(F.slice("features", 1, 4), w[:4]).alias("narrow"),
         V.axpy(2.0, F.col("features"), F.col("features")).alias("axpy"),
         V.divide(F.col("features"), 4.0).alias("divided"),
         V.total(F.col("features")).alias("total"),
@@ -156,6 +156,26 @@ def test_unmatched_settings(spark):
         R.require_same_settings(a, b)
 
 
+@pytest.mark.parametrize("width", [4, 30])
+def test_another_width_or_a_null_is_refused(spark, examples, width):
+    w = [1.0] * width
+    for n in (width - 1, width + 1):
+        with pytest.raises(Exception, match="another width"):
+            examples(np.ones((2, n)), np.ones(2)).select(V.dot(F.col("features"), w)).collect()
+    for row in ((1, [None] + w[1:], 1.0), (1, w, None), (1, None, 1.0)):
+        df = spark.createDataFrame([(0, w, 1.0), row], "row_id bigint, features array<double>, label double")
+        for score in (linear.mean_abs_error, linear.total_loss):
+            with pytest.raises(Exception, match="null|another width"):
+                score(df, w).collect()
+
+
+def test_one_sided_settings_are_refused(spark):
+    a, b = runs(spark, {1: 1.0, 2: 1.0}), runs(spark, {2: 2.0, 3: 1.0})
+    with pytest.raises(Exception, match="different settings"):
+        R.compare_runs(a, b, "gpu_time").collect()
+    assert [tuple(r) for r in R.compare_runs(a, b, "gpu_time", common_only=True).collect()] == [(2, 1.0, 2.0)]
+
+
 def test_a_setting_that_ran_twice_is_refused(spark):
     a = runs(spark, {1: 1.0, 2: 1.0})
     with pytest.raises(Exception, match="more than one run"):

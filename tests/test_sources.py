@@ -120,3 +120,14 @@ def test_streams_equal_the_tables(spark, tmp_path, examples):
     writer = stream_runs(spark, str(folder)).writeStream.format("memory").queryName("runs_seen").trigger(availableNow=True)
     writer.option("checkpointLocation", str(tmp_path / "check2")).start().awaitTermination()
     assert [(r["param_value"], r["codepath"]) for r in spark.table("runs_seen").collect()] == [(5, "fold")]
+
+
+def test_files_of_many_records_are_read_whole(spark, tmp_path):
+    text = json.dumps({m: 1.5 for m in R.MEASURES})
+    (tmp_path / "many-10-fold.json").write_text(f"{text}\n{text}\n\n{text}")
+    (tmp_path / "pretty-20-fold.json").write_text(json.dumps({m: 2.5 for m in R.MEASURES}, indent=2) * 2)
+    found = R.read_runs(spark, str(tmp_path)).orderBy("param_value").collect()
+    assert [(r["param_value"], r["error"]) for r in found] == [(10, 1.5)] * 3 + [(20, 2.5)] * 2
+    (tmp_path / "broken-30-fold.json").write_text(text + " rest")
+    with pytest.raises(Exception):
+        R.read_runs(spark, str(tmp_path)).collect()
