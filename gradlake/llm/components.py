@@ -40,9 +40,9 @@ def link(keyed: DataFrame, similar: Callable[[Column, Column, Column], Column],
     only nodes that lie outside the commonest component of a key are held against the others with that key, so no link between
     two components is missed.
     """
-    hub = F.min_by(F.struct("node", "value"), F.xxhash64("node", "key"))
-    hubs = keyed.groupBy("key").agg(hub.alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    near = (F.col("node") != F.col("hub.node")) & similar(F.col("key"), F.col("value"), F.col("hub.value"))
+    order = F.xxhash64("node", "key")
+    hubs = keyed.groupBy("key").agg(F.min_by("node", order).alias("hub"), F.min_by("value", order).alias("hub_value"), F.count("*").alias("n")).filter("n > 1")
+    near = (F.col("node") != F.col("hub")) & similar(F.col("key"), F.col("value"), F.col("hub_value"))
     met = materialise(keyed.join(hubs, "key").filter((F.col("n") > 2) | near).withColumn("near", near), "met")
     shared = met.filter("n > 2")
 
@@ -50,7 +50,7 @@ def link(keyed: DataFrame, similar: Callable[[Column, Column, Column], Column],
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         return materialise(verify(materialise(pairs, "pairs")) if verify else pairs, "links")
 
-    first = checked(met.filter("near").select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+    first = checked(met.filter("near").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     roots = connected(first)
     rooted = shared.select("key", "node", "value").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("common"), F.count("*").alias("roots")).filter("roots > 1")

@@ -23,6 +23,8 @@ from gradlake.session import materialise
 
 BITS = 64
 SEED = 42
+#: The longest part of a fingerprint in a key: a segment of 32 bits and half of the next.
+KEY_BITS = 48
 #: The contract: shingles of three words, links at two bits.
 WORDS, MOST_BITS = 3, 2
 
@@ -62,20 +64,21 @@ class Ring:
     def mask(low: int, n: int) -> int:
         return ((1 << n) - 1) << low
 
-    def keys(self, value: Column) -> list[tuple[int, Column]]:
-        """Where a fingerprint looks for partners: from each segment on, that segment and one half of the next."""
+    def keys(self, value: Column) -> list[Column]:
+        """Where a fingerprint looks for partners: from each segment on, that segment and one half of the next, as one number of ``KEY_BITS`` bits."""
 
         def piece(low: int, n: int) -> Column:
-            return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << n) - 1).cast("bigint")) if n < BITS else value
+            return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << n) - 1).cast("bigint"))
 
+        if self.parts == 1:
+            # the whole is compared afterwards, so a part of it will do
+            return [piece(0, KEY_BITS)]
         found = []
         for i, (low, n) in enumerate(self.segments):
-            if self.parts == 1:
-                return [(0, piece(low, n))]
             after, size = self.segments[(i + 1) % self.parts]
             half = size // 2
-            for side, (at, width) in enumerate(((after, half), (after + half, size - half))):
-                found.append((2 * i + side, F.shiftleft(piece(low, n), width).bitwiseOR(piece(at, width))))
+            for at, width in ((after, half), (after + half, size - half)):
+                found.append(F.shiftleft(piece(low, n), width).bitwiseOR(piece(at, width)))
         return found
 
     def similar(self, start: Column, x: Column, y: Column) -> Column:
@@ -95,15 +98,24 @@ class Ring:
 
 
 def near_components(nodes: DataFrame, most_bits: int, columns: list[str], verify=None) -> DataFrame:
-    """Components of ``node``, linked where any of the fingerprint ``columns`` differ in at most ``most_bits`` bits."""
+    """Components of ``node``, linked where any of the fingerprint ``columns`` differ in at most ``most_bits`` bits.
+
+    ``nodes`` may have ``groups``, an array of small integers: only nodes with a common group are held against each other.
+    """
     ring = Ring(most_bits)
-    rows = []
+    group = F.lit(0)
+    if "groups" in nodes.columns:
+        nodes, group = nodes.select("node", *columns, F.explode("groups").alias("group")), F.col("group")
+    rows, starts = [], 1
     for i, c in enumerate(columns):
-        for start, bits in ring.keys(F.col(c)):
-            key = F.struct(F.lit(i).alias("column"), F.lit(start).alias("start"), bits.alias("bits"))
-            rows.append(F.struct(key.alias("key"), F.col(c).alias("value")))
+        own = ring.keys(F.col(c))
+        starts = len(own)
+        for start, bits in enumerate(own):
+            # one number holds the group, the column, the start and the bits
+            tag = (group.cast("bigint") * len(columns) + i) * starts + start
+            rows.append(F.struct(F.shiftleft(tag, KEY_BITS).bitwiseOR(bits).alias("key"), F.col(c).alias("value")))
     keyed = nodes.select("node", F.explode(F.array(*rows)).alias("k")).select("k.key", "node", "k.value")
-    return link(keyed, lambda key, x, y: ring.similar(key["start"], x, y), verify)
+    return link(keyed, lambda key, x, y: ring.similar(F.pmod(F.shiftrightunsigned(key, KEY_BITS), F.lit(starts)), x, y), verify)
 
 
 def fingerprints(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -147,11 +159,40 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+def size_groups(n: int, similarity: float) -> list[int]:
+    """The group of a set by its size, doubling from one to the next, and those in which the larger sets lie that can be similar to it.
+
+    Two sets of a Jaccard similarity of at least ``similarity`` differ in size by no more than that, so they share a group.
+    """
+    return list(range(n.bit_length(), int(n / similarity + 1e-6).bit_length() + 1))
+
+
+def word_marks(words: set[bytes], tables: int) -> list[int]:
+    """``tables`` fingerprints of a set of words: bit by bit what over half of their hashes have. A word is hashed once; the tables mix that hash."""
+    total, listed = np.zeros((tables, BITS), np.int64), list(words)
+    for start in range(0, len(listed), 1 << 16):
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in listed[start : start + (1 << 16)]), np.uint64)
+        for i in range(tables):
+            mixed = hashes + np.uint64(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1)
+            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            mixed ^= mixed >> np.uint64(31)
+            total[i] += np.unpackbits(mixed.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return [signed(int.from_bytes(row.tobytes(), "big")) for row in np.packbits(2 * total > len(listed), axis=1)]
+
+
 @lru_cache(64)
 def shingle_set(text: bytes, words: int) -> frozenset[bytes]:
     return frozenset(shingles(words_of(text), words))
 
 
+def shingle_count(words: list[bytes], n: int) -> int:
+    """The size of the set of shingles."""
+    if len(words) < n:
+        return min(len(words), 1)
+    return len(set(zip(*(words[i:] for i in range(n)), strict=False)))
+
+
 def with_class(df: DataFrame, text: str = "text", name: str = "class") -> DataFrame:
     """``df`` with one more column last: a digest of the word sequence of each text, equal for copies."""
     place = [i for i, n in enumerate(df.columns) if n == text][0]
@@ -170,8 +211,11 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     """``class`` (see :func:`with_class`), ``row`` (an id with that text) and ``component_id`` for every distinct pair of text and id.
 
     Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Candidates come from
-    ``tables`` fingerprints of the set of single words, which an edit moves least; one of them must agree but for ``most_bits`` bits.
+    ``tables`` fingerprints of the set of single words, which an edit moves least; one of them must agree but for ``most_bits`` bits, and the
+    numbers of shingles must allow for the similarity. Candidates carry a number for each distinct text, given once and written down.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must lie above 0 and not above 1")
     rows = pick(df, row=id_column, text=text).select("row", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     names = [f"f{i}" for i in range(tables)]
@@ -180,20 +224,24 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
         for batch in batches:
             own = [words_of(t) for t in batch.column(1).to_pylist()]
             classes = pa.array([hashlib.md5(b" ".join(w)).digest() for w in own], pa.binary())
-            marks = [pa.array([signed(fingerprint(list(set(w)), SEED + i)) for w in own], pa.int64()) for i in range(tables)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), classes, *marks], ["row", "class", *names])
+            groups = pa.array([size_groups(shingle_count(w, words), similarity) for w in own], pa.list_(pa.int32()))
+            marks = list(zip(*(word_marks(set(w), tables) for w in own), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), classes, groups, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", *names])
 
-    marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, " + ", ".join(f"{n} bigint" for n in names)), "marks")
-    nodes = materialise(marked.groupBy(F.col("class").alias("node")).agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in names)), "nodes")
+    marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, groups array<int>, " + ", ".join(f"{n} bigint" for n in names)), "marks")
+    distinct = marked.groupBy("class").agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in ("groups", *names)))
+    nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     def text_of(batches):
         for batch in batches:
             classes = [hashlib.md5(b" ".join(words_of(t))).digest() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column(0)], ["node", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column(0)], ["class", "text"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = materialise(rows.select("text").mapInArrow(text_of, "node binary, text binary").join(wanted, "node", "semi").dropDuplicates(["node"]), "texts")
+        ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = nodes.select("node", "class").join(ids, "node", "semi")
+        found = rows.select("text").mapInArrow(text_of, "class binary, text binary").join(wanted, "class")
+        texts = materialise(found.select("node", "text").dropDuplicates(["node"]), "texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
 
         def agree(batches):
@@ -205,11 +253,11 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
                     ok.append(common >= similarity * (len(p) + len(q) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return both.select("a", "b", "x", "y").mapInArrow(agree, "a binary, b binary")
+        return both.select("a", "b", "x", "y").mapInArrow(agree, "a bigint, b bigint")
 
     roots = near_components(nodes, most_bits, names, verify)
-    rooted = nodes.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(F.col("node").alias("class"), "component_id")
+    rooted = nodes.select("node", "class", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("class", "component_id")
     return marked.select("class", "row").distinct().join(named, "class")
 
 

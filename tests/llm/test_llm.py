@@ -269,6 +269,14 @@ def test_fingerprints(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_similar_sets_share_a_group():
+    for similarity in (0.5, 0.8, 1.0):
+        for small in range(200):
+            for large in range(small, int(small / similarity) + 2):
+                share = set(simhash.size_groups(small, similarity)) & set(simhash.size_groups(large, similarity))
+                assert share or small < similarity * large
+
+
 def test_near_copies(spark, docs, odd, empty):
     rng = random.Random(8)
     words = [f"w{rng.randrange(10**6)}" for _ in range(900)]
