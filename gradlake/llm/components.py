@@ -60,4 +60,5 @@ def link(keyed: DataFrame, similar: Callable[[Column, Column, Column], Column],
     # a pair of two nodes that both lie outside the commonest component is met twice, once is enough
     across = left.join(right, "key").filter("p <> q and (q = common or a > b)").filter(similar(F.col("key"), F.col("x"), F.col("y")))
     second = checked(across.select("a", "b"))
-    return connected(first.union(second))
+    # the components of the first links are stars now, which takes fewer rounds than those links again
+    return connected(roots.toDF("a", "b").union(second))
