@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +53,17 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+#: Bytes of text that a task takes apart at a time; a longer single text stands alone.
+PART_BYTES = 4 << 20
+
+
+def parts(batches: Iterator[pa.RecordBatch], *places: int, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, by the bytes in the binary columns ``places``: what a task builds from texts is many times their size."""
+    for batch in batches:
+        sizes = [0] * batch.num_rows
+        for place in places:
+            sizes = [a + (b or 0) for a, b in zip(sizes, pc.binary_length(batch.column(place)).to_pylist(), strict=True)]
+        for start, end in slices(sizes, most):
+            yield batch.slice(start, end - start)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradlake.llm.common import pick, table
+from gradlake.llm.common import parts, pick, table
 from gradlake.llm.components import link
 from gradlake.session import materialise
 
@@ -221,7 +221,7 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     names = [f"f{i}" for i in range(tables)]
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             own = [words_of(t) for t in batch.column(1).to_pylist()]
             classes = pa.array([hashlib.md5(b" ".join(w)).digest() for w in own], pa.binary())
             groups = pa.array([size_groups(shingle_count(w, words), similarity) for w in own], pa.list_(pa.int32()))
@@ -233,7 +233,7 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     def text_of(batches):
-        for batch in batches:
+        for batch in parts(batches, 0):
             classes = [hashlib.md5(b" ".join(words_of(t))).digest() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column(0)], ["class", "text"])
 
@@ -245,7 +245,7 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
 
         def agree(batches):
-            for batch in batches:
+            for batch in parts(batches, 2, 3):
                 ok = []
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                     p, q = shingle_set(x, words), shingle_set(y, words)
