@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradlake.llm.common import map_batches, pick, table
+from gradlake.llm.common import map_batches, parts, pick, table
 from gradlake.session import materialise
 
 #: ASCII white space, stripped from both ends of a key. Fixed value.
@@ -65,11 +65,11 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes: list[int] = []
         # rows of one document count as one document
-        texts: dict[int, set[bytes]] = {}
+        texts: dict[int, set[int]] = {}
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            texts.setdefault(doc, set()).update(k for k in keys_of(text, min_chars) if k is not None)
-        for keys in texts.values():
-            hashes.extend(map(xxhash.xxh64_intdigest, keys))
+            texts.setdefault(doc, set()).update(xxhash.xxh64_intdigest(k) for k in keys_of(text, min_chars) if k is not None)
+        for own in texts.values():
+            hashes.extend(own)
         values, counts = np.unique(np.array(hashes, np.uint64), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array([values.tobytes()]), pa.array([values[counts > 1].tobytes()])], ["seen", "again"])
 
@@ -125,7 +125,7 @@ def suspects_by_broadcast(docs: DataFrame, filters: DataFrame, bits: int, min_ch
     def run(batches):
         if not held:
             held.append(np.frombuffer(zlib.decompress(shared.value), np.uint8).reshape(1 << bits, FILTER_BITS // 8))
-        for batch in batches:
+        for batch in parts(batches, 1):
             ids, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = {k for k in keys_of(text, min_chars) if k is not None}
