@@ -8,7 +8,6 @@ chains prune them before the whole fingerprints are compared. Keys cover about h
 
 from __future__ import annotations
 
-import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -181,7 +180,7 @@ def word_marks(words: set[bytes], tables: int) -> list[int]:
     return [signed(int.from_bytes(row.tobytes(), "big")) for row in np.packbits(2 * total > len(listed), axis=1)]
 
 
-@lru_cache(64)
+@lru_cache(8)
 def shingle_set(text: bytes, words: int) -> frozenset[bytes]:
     return frozenset(shingles(words_of(text), words))
 
@@ -193,22 +192,13 @@ def shingle_count(words: list[bytes], n: int) -> int:
     return len(set(zip(*(words[i:] for i in range(n)), strict=False)))
 
 
-def with_class(df: DataFrame, text: str = "text", name: str = "class") -> DataFrame:
-    """``df`` with one more column last: a digest of the word sequence of each text, equal for copies."""
-    place = [i for i, n in enumerate(df.columns) if n == text][0]
-    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
-
-    def run(batches):
-        for batch in batches:
-            found = [hashlib.md5(b" ".join(words_of((t or "").encode()))).digest() for t in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, name])
-
-    fields = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema.fields))
-    return plain.mapInArrow(run, f"{fields}, {name} binary")
+def class_of(text: Column) -> Column:
+    """A digest of the whole text, equal for exact copies; null texts count as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY, tables: int = TABLES, most_bits: int = TABLE_BITS) -> DataFrame:
-    """``class`` (see :func:`with_class`), ``row`` (an id with that text) and ``component_id`` for every distinct pair of text and id.
+    """``class`` (see :func:`class_of`), ``row`` (an id with that text) and ``component_id`` for every distinct pair of text and id.
 
     Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Candidates come from
     ``tables`` fingerprints of the set of single words, which an edit moves least; one of them must agree but for ``most_bits`` bits, and the
@@ -216,31 +206,25 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     """
     if not 0 < similarity <= 1:
         raise ValueError("similarity must lie above 0 and not above 1")
-    rows = pick(df, row=id_column, text=text).select("row", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    rows = pick(df, row=id_column, text=text).select("row", class_of(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     names = [f"f{i}" for i in range(tables)]
 
     def run(batches):
-        for batch in parts(batches, 1):
-            own = [words_of(t) for t in batch.column(1).to_pylist()]
-            classes = pa.array([hashlib.md5(b" ".join(w)).digest() for w in own], pa.binary())
+        for batch in parts(batches, 2):
+            own = [words_of(t) for t in batch.column(2).to_pylist()]
             groups = pa.array([size_groups(shingle_count(w, words), similarity) for w in own], pa.list_(pa.int32()))
             marks = list(zip(*(word_marks(set(w), tables) for w in own), strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), classes, groups, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), groups, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", *names])
 
     marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, groups array<int>, " + ", ".join(f"{n} bigint" for n in names)), "marks")
     distinct = marked.groupBy("class").agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in ("groups", *names)))
     nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    def text_of(batches):
-        for batch in parts(batches, 0):
-            classes = [hashlib.md5(b" ".join(words_of(t))).digest() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), batch.column(0)], ["class", "text"])
-
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = nodes.select("node", "class").join(ids, "node", "semi")
-        found = rows.select("text").mapInArrow(text_of, "class binary, text binary").join(wanted, "class")
+        found = rows.select("class", "text").join(wanted, "class")
         texts = materialise(found.select("node", "text").dropDuplicates(["node"]), "texts")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
 
@@ -270,7 +254,9 @@ def drop_near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text
     keep = found.filter(F.col("row").eqNullSafe(F.col("component_id"))).select(F.col("class").alias("own_class"), F.col("row").alias("own_row"), "component_id")
     # texts of one component under the same smallest id are one row as well
     keep = keep.groupBy("own_row", F.col("component_id").isNull().alias("open"), F.when(F.col("component_id").isNull(), F.col("own_class")).alias("c")).agg(F.min("own_class").alias("own_class")).select("own_class", "own_row")
-    place = [i for i, n in enumerate(df.columns) if n == id_column][0]
-    classed = with_class(df, text)
-    rows = classed.join(keep, F.col("class").eqNullSafe(F.col("own_class")) & F.col(f"c{place}").eqNullSafe(F.col("own_row")), "semi")
-    return rows.dropDuplicates(["class", f"c{place}"]).drop("class").toDF(*df.columns)
+    names = df.columns
+    own, place = names.index(id_column), names.index(text)
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
+    classed = plain.withColumn("class", class_of(F.col(f"c{place}")))
+    rows = classed.join(keep, (F.col("class") == F.col("own_class")) & F.col(f"c{own}").eqNullSafe(F.col("own_row")), "semi")
+    return rows.dropDuplicates(["class", f"c{own}"]).drop("class").toDF(*names)
