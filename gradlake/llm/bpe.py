@@ -14,6 +14,7 @@ from functools import cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,10 @@ from gradlake.llm.common import map_batches, pick, slices, table
 
 #: How byte-level tokenizers cut a text into pieces. Fixed value.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries kept per cache and Python worker (some 150 bytes each); a full cache starts anew.
+#: Entries kept per cache and Python worker (some 150 bytes each); a full cache starts anew. Pieces of texts are kept for one task only.
 CACHE_ENTRIES = 1 << 19
-#: Text characters whose tokens are held at once.
-SLICE_CHARS = 4_000_000
+#: Bytes of text whose tokens are held at once.
+SLICE_BYTES = 4_000_000
 FOREVER = 1 << 60
 #: Bits of a token id in a pair.
 SHIFT = 24
@@ -208,9 +209,13 @@ def encode(df: DataFrame, id_column: str = "doc_id", text: str = "text", tokeniz
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run_sliced(batches):
-        for batch in batches:
-            for start, end in slices([len(v) for v in batch.column(1).to_pylist()] if batch.num_rows else [], SLICE_CHARS):
-                yield run(batch.slice(start, end - start))
+        try:
+            for batch in batches:
+                for start, end in slices(pc.binary_length(batch.column(1)).to_pylist(), SLICE_BYTES):
+                    yield run(batch.slice(start, end - start))
+        finally:
+            # the worker goes on to tasks of other operators
+            encoder(tokenizer).pieces.clear()
 
     return rows.mapInArrow(run_sliced, f"`{id_column}` {kind}, n_tokens bigint, token_ids binary" + ", decoded string" * decoded)
 
