@@ -8,6 +8,7 @@ chains prune them before the whole fingerprints are compared. Keys cover about h
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradlake.llm.common import parts, pick, table
-from gradlake.llm.components import link
+from gradlake.llm.components import connected, link
 from gradlake.session import materialise
 
 BITS = 64
@@ -150,8 +151,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-#: Near copies by words: four fingerprints of the set of words, a link where one of them differs in four bits and the sets of five-word shingles agree by 0.8.
+#: Near copies by words: candidates by four fingerprints of the set of words, of which one differs in four bits, and by rare shingles;
+#: a link where the sets of five-word shingles agree by 0.8.
 TABLES, TABLE_BITS, COPY_WORDS, SIMILARITY = 4, 4, 5, 0.8
+#: How often shingles occur is counted in so many cells, over a sample of about so many texts.
+CELLS, COUNTED = 1 << 18, 20_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -192,6 +196,59 @@ def shingle_count(words: list[bytes], n: int) -> int:
     return len(set(zip(*(words[i:] for i in range(n)), strict=False)))
 
 
+def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
+    """A number for every shingle of the set, ascending."""
+    if len(words) < n:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
+    known = {w: xxhash.xxh3_64_intdigest(w, SEED) for w in set(words)}
+    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    total = np.zeros(len(words) - n + 1, np.uint64)
+    for i in range(n):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(total)]
+    return np.unique(total ^ (total >> np.uint64(32)))
+
+
+def rare_shingles(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The prefix of a set: its shingles from the rarest cell on, as many as it may lack of a similar set and one more.
+
+    Sets of a Jaccard similarity of at least ``similarity`` share a shingle of their prefixes, whatever ``counts`` holds, as all
+    sets are put in the same order. The empty set has one key of its own.
+    """
+    n = len(hashes)
+    if not n:
+        return np.zeros(1, np.uint64)
+    most = n - math.ceil(similarity * n - 1e-6) + 1
+    return hashes[np.lexsort((hashes, counts[hashes % np.uint64(len(counts))]))[:most]]
+
+
+def count_shingles(rows: DataFrame, words: int) -> np.ndarray:
+    """How many texts of a sample have shingles in each of ``CELLS`` cells; only the order of keys depends on it, no result does."""
+    bound = -(1 << 63) + int((1 << 64) * min(1, COUNTED / max(1, rows.count())))
+
+    def run(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in parts(batches, 0):
+            for t in batch.column(0).to_pylist():
+                np.add.at(total, (shingle_hashes(words_of(t), words) % np.uint64(CELLS)).astype(np.int64), 1)
+        (cells,) = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], ["cell", "n"])
+
+    few = rows.filter(F.xxhash64("class") <= min(bound, (1 << 63) - 1)).select("text")
+    found = few.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def shingle_components(nodes: DataFrame, similarity: float, verify) -> DataFrame:
+    """Components of ``node`` (with ``size`` and ``rare``, the prefix of its set), linked where two share a key, their sizes allow for it and ``verify`` agrees."""
+    keyed = nodes.select("node", F.col("size").alias("value"), F.explode("rare").alias("key"))
+    # most keys are of one text only
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    met = materialise(keyed.join(shared, "key", "semi").select("key", "node", "value"), "keyed")
+    return link(met, lambda key, x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-6, verify)
+
+
 def class_of(text: Column) -> Column:
     """A digest of the whole text, equal for exact copies; null texts count as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -201,24 +258,29 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     """``class`` (see :func:`class_of`), ``row`` (an id with that text) and ``component_id`` for every distinct pair of text and id.
 
     Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Candidates come from
-    ``tables`` fingerprints of the set of single words, which an edit moves least; one of them must agree but for ``most_bits`` bits, and the
-    numbers of shingles must allow for the similarity. Candidates carry a number for each distinct text, given once and written down.
+    ``tables`` fingerprints of the set of single words, of which one must agree but for ``most_bits`` bits, and from the rarest shingles
+    of each text (see :func:`rare_shingles`), which lose no link; the numbers of shingles must allow for the similarity. Candidates carry a
+    number for each distinct text, given once and written down.
     """
     if not 0 < similarity <= 1:
         raise ValueError("similarity must lie above 0 and not above 1")
     rows = pick(df, row=id_column, text=text).select("row", class_of(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     names = [f"f{i}" for i in range(tables)]
+    counts = df.sparkSession.sparkContext.broadcast(count_shingles(rows, words))
 
     def run(batches):
         for batch in parts(batches, 2):
             own = [words_of(t) for t in batch.column(2).to_pylist()]
             groups = pa.array([size_groups(shingle_count(w, words), similarity) for w in own], pa.list_(pa.int32()))
+            sets = [shingle_hashes(w, words) for w in own]
+            size = pa.array([len(s) for s in sets], pa.int64())
+            rare = pa.array([rare_shingles(s, counts.value, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))
             marks = list(zip(*(word_marks(set(w), tables) for w in own), strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), groups, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), groups, size, rare, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", "size", "rare", *names])
 
-    marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, groups array<int>, " + ", ".join(f"{n} bigint" for n in names)), "marks")
-    distinct = marked.groupBy("class").agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in ("groups", *names)))
+    marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, groups array<int>, size bigint, rare array<bigint>, " + ", ".join(f"{n} bigint" for n in names)), "marks")
+    distinct = marked.groupBy("class").agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in ("groups", "size", "rare", *names)))
     nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -239,7 +301,9 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
 
         return both.select("a", "b", "x", "y").mapInArrow(agree, "a bigint, b bigint")
 
-    roots = near_components(nodes, most_bits, names, verify)
+    by_marks = near_components(nodes, most_bits, names, verify)
+    by_shingles = shingle_components(nodes, similarity, verify)
+    roots = connected(by_marks.toDF("a", "b").union(by_shingles.toDF("a", "b")))
     rooted = nodes.select("node", "class", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("class", "component_id")
     return marked.select("class", "row").distinct().join(named, "class")

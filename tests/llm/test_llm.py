@@ -296,6 +296,31 @@ def test_near_copies(spark, docs, odd, empty):
     assert simhash.drop_near_copies(empty).count() == 0
 
 
+def test_near_copies_of_any_edit_equal_brute_force(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    # a passage that all share, so keys are not all of one text
+    common = fresh(12)
+    texts = [["four", "words", "of", "text"], ["four", "words", "of", "Text"], ["one"], []]
+    for n in (20, 100, 300):
+        for share in (0.02, 0.05, 0.1, 0.15, 0.2, 0.24, 0.27):
+            for edit in ("append", "cut", "insert", "scatter"):
+                base, k = common + fresh(n), max(1, round(share * n))
+                at = rng.randrange(n - k)
+                if edit == "scatter":
+                    own = list(base)
+                    for i in rng.sample(range(len(own)), max(1, k // 8)):
+                        own[i] = "other"
+                else:
+                    own = {"append": base + fresh(k), "cut": base[:at] + base[at + k :], "insert": base[:at] + fresh(k) + base[at:]}[edit]
+                texts += [base, own]
+    sets = [set(zip(*(t[i:] for i in range(5)))) if len(t) >= 5 else {tuple(w.lower() for w in t)} - {()} for t in texts]
+    want = brute_roots(range(len(texts)), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    assert {r["row"]: r["component_id"] for r in simhash.near_copies(df).collect()} == want
+    assert sum(i != r for i, r in want.items()) > 40
+
+
 def test_search_odd_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 7]) for i in range(250)]
