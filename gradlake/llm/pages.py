@@ -29,6 +29,8 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style noscript template iframe object svg math textarea select".split())
+#: What may stand in a head; another start tag ends it.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript object script style template title".split())
 #: What a start tag closes if it is open, unless one of the named elements lies between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -64,7 +66,8 @@ def leaves(page: str) -> list[Leaf]:
         nonlocal linked
         if pieces:
             text = SPACE.sub(" ", "".join(pieces)).strip(" ")
-            if text:
+            # what the head holds is no text of the page; classes and ids are for the labeller to judge
+            if text and not any(tag in ("head", "title") for tag, *_ in stack):
                 names = [n for tag, more, _ in stack for n in (tag, *more)]
                 found.append(Leaf(text, names, min(1.0, linked / len(text)), [m for *_, m in stack if m]))
             pieces.clear()
@@ -103,6 +106,11 @@ def leaves(page: str) -> list[Leaf]:
             if k is not None:
                 close(k)
             continue
+        if tag not in IN_HEAD:
+            k = next((i for i, (t, *_) in enumerate(stack) if t == "head"), None)
+            if k is not None:
+                flush()
+                close(k)
         if tag in BLOCKS:
             flush()
             if stack and stack[-1][0] not in BLOCKS or any(t == "p" for t, *_ in stack):
@@ -128,8 +136,7 @@ def leaves(page: str) -> list[Leaf]:
         stack.append((tag, names, mark[1] if mark else ""))
         links += tag == "a"
     flush()
-    # what the head holds is no text of the page
-    return [leaf for leaf in found if "head" not in leaf.names and "title" not in leaf.names]
+    return found
 
 
 _hashes: dict[tuple[str, int], int] = {}
