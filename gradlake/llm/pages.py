@@ -27,13 +27,18 @@ BLOCKS = frozenset(
     "head header hgroup hr html iframe legend li main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template iframe object svg math textarea select".split())
+#: Elements whose content is no markup, up to their own end tag, and no text of the page.
+RAW = frozenset("script style iframe textarea".split())
+#: Elements with markup inside, of which nothing is text of the page.
+SILENT = frozenset("noscript template svg select".split())
+#: Block elements that may stand inside; another one shows that the end tag is missing.
+INSIDE = {"svg": frozenset(("title",)), "math": frozenset(), "select": frozenset("button div hr legend optgroup option".split())}
 #: What may stand in a head; another start tag ends it.
 IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript object script style template title".split())
 #: What a start tag closes if it is open, unless one of the named elements lies between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 MARK = re.compile(r"""\bdata-mark=(\w+)""")
 SPACE = re.compile(r"\s+")
@@ -61,6 +66,7 @@ def leaves(page: str) -> list[Leaf]:
     pieces: list[str] = []
     linked = 0
     links = 0
+    silent = 0
 
     def flush() -> None:
         nonlocal linked
@@ -75,18 +81,24 @@ def leaves(page: str) -> list[Leaf]:
 
     def say(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not silent:
             text = entities.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if links:
                 linked += len(text.strip())
 
     def close(k: int) -> None:
-        nonlocal links
+        nonlocal links, silent
         for tag, *_ in stack[k:]:
             links -= tag == "a"
+            silent -= tag in SILENT
         del stack[k:]
 
+    def speak() -> None:
+        """Close what is silent, so the text before it keeps its own path."""
+        if silent:
+            close(next(i for i, (t, *_) in enumerate(stack) if t in SILENT))
+
     at = 0
     while at < len(page):
         m = MARKUP.search(page, at)
@@ -100,12 +112,35 @@ def leaves(page: str) -> list[Leaf]:
             continue
         tag, rest = tag.lower(), m[3] if m[2] else m[6]
         if m[1] or m[4]:
+            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            if silent:
+                if k is None or any(t in SILENT for t, *_ in stack[:k]):
+                    if k is not None:
+                        close(k)
+                    continue
+                own = tag in SILENT
+                speak()
+                if own:
+                    if tag in BLOCKS:
+                        flush()
+                    continue
             if tag in BLOCKS:
                 flush()
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if k is not None:
                 close(k)
             continue
+        if tag in BLOCKS:
+            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in INSIDE or stack[i][0] == "foreignobject"), None)
+            if k is not None and tag not in INSIDE.get(stack[k][0], BLOCKS):
+                close(k)
+        if silent:
+            if tag in RAW:
+                end = END[tag].search(page, at)
+                at = end.end() if end else len(page)
+            elif tag not in VOID and not rest.endswith("/"):
+                stack.append((tag, [], ""))
+                silent += tag in SILENT
+            continue
         if tag not in IN_HEAD:
             k = next((i for i, (t, *_) in enumerate(stack) if t == "head"), None)
             if k is not None:
@@ -126,7 +161,7 @@ def leaves(page: str) -> list[Leaf]:
         elif tag == "br":
             pieces.append(" ")
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            end = END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in VOID or rest.endswith("/"):
@@ -135,6 +170,8 @@ def leaves(page: str) -> list[Leaf]:
         mark = MARK.search(rest) if rest else None
         stack.append((tag, names, mark[1] if mark else ""))
         links += tag == "a"
+        silent += tag in SILENT
+    speak()
     flush()
     return found
 
