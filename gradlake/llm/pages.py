@@ -197,9 +197,7 @@ def vectors(page: list[Leaf]) -> np.ndarray:
             row[bucket(name, PATH)] = 1
         if leaf.names:
             row[bucket("last " + leaf.names[-1], PATH)] = 1
-        share = 1 / len(words)
-        for word in words[:WORDS] + words[WORDS:][:: max(1, len(words) // WORDS)]:
-            row[PATH + bucket(word, WORDS)] += share
+        row[PATH : PATH + WORDS] = np.bincount([bucket(word, WORDS) for word in words], minlength=WORDS) / len(words)
         row[-FIGURES:] = (np.log1p(len(words)) / 5, leaf.linked, leaf.text[-1] in ".!?", leaf.text.count(",") / len(words), i / len(page), min(len(leaf.names), 20) / 20)
     return out
 
@@ -375,23 +373,28 @@ def plain_labels(page: list[Leaf]) -> np.ndarray | None:
     return np.array([bool({"article", "main"} & set(leaf.names)) and not OTHER & set(leaf.names) for leaf in page], float)
 
 
+def windows(items, size: int = TRAIN_LEAVES) -> list:
+    """All of a page in runs of consecutive leaves."""
+    return [items[i : i + size] for i in range(0, len(items), size)]
+
+
 def train(pages: list[str], seed: int = 5) -> Labeller:
     """Learn from sampled pages and from frames of their texts."""
     rng, model = random.Random(seed), Labeller(seed)
     texts, x, y = [], [], []
     for page in pages:
-        own = leaves(page)[:TRAIN_LEAVES]
+        own = leaves(page)
         texts += [leaf.text for leaf in own]
         labels = plain_labels(own)
         if labels is not None and len(own):
-            x.append(vectors(own))
-            y.append(labels)
+            x += windows(vectors(own))
+            y += windows(labels)
     # frames need some texts, be the table empty
     texts = texts or ["a line of text", "another, longer line of text that ends in a full stop."]
     for _ in range(FRAMES):
-        own = leaves(frame(texts, rng))[:TRAIN_LEAVES]
-        x.append(vectors(own))
-        y.append(np.array([bool(leaf.marks) and leaf.marks[-1] == "content" for leaf in own], float))
+        own = leaves(frame(texts, rng))
+        x += windows(vectors(own))
+        y += windows(np.array([bool(leaf.marks) and leaf.marks[-1] == "content" for leaf in own], float))
     model.fit(x, y, seed)
     return model
 
