@@ -255,7 +255,8 @@ def class_of(text: Column) -> Column:
 
 
 def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY, tables: int = TABLES, most_bits: int = TABLE_BITS) -> DataFrame:
-    """``class`` (see :func:`class_of`), ``row`` (an id with that text) and ``component_id`` for every distinct pair of text and id.
+    """``class`` (see :func:`class_of`), ``row`` (an id with that text), ``root`` (a number of its component) and ``component_id`` (the
+    smallest id there) for every distinct pair of text and id.
 
     Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Candidates come from
     ``tables`` fingerprints of the set of single words, of which one must agree but for ``most_bits`` bits, and from the rarest shingles
@@ -305,7 +306,7 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", wo
     by_shingles = shingle_components(nodes, similarity, verify)
     roots = connected(by_marks.toDF("a", "b").union(by_shingles.toDF("a", "b")))
     rooted = nodes.select("node", "class", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("class", "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("class", "root", "component_id")
     return marked.select("class", "row").distinct().join(named, "class")
 
 
@@ -315,9 +316,9 @@ def drop_near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text
     A group without any id keeps one of its rows. Null and empty texts form one group.
     """
     found = near_copies(df, id_column, text, **options)
-    keep = found.filter(F.col("row").eqNullSafe(F.col("component_id"))).select(F.col("class").alias("own_class"), F.col("row").alias("own_row"), "component_id")
-    # texts of one component under the same smallest id are one row as well
-    keep = keep.groupBy("own_row", F.col("component_id").isNull().alias("open"), F.when(F.col("component_id").isNull(), F.col("own_class")).alias("c")).agg(F.min("own_class").alias("own_class")).select("own_class", "own_row")
+    keep = found.filter(F.col("row").eqNullSafe(F.col("component_id")))
+    # texts of one component under the same smallest id are one row as well; an id may lead several components
+    keep = keep.groupBy("root", F.col("row").alias("own_row")).agg(F.min("class").alias("own_class")).select("own_class", "own_row")
     names = df.columns
     own, place = names.index(id_column), names.index(text)
     plain = df.toDF(*(f"c{i}" for i in range(len(names))))

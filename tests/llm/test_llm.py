@@ -359,6 +359,13 @@ def test_near_copies_of_any_edit_equal_brute_force(spark):
     assert sum(i != r for i, r in want.items()) > 40
 
 
+def test_one_id_on_unrelated_texts(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(200)) for c in "abc")
+    rows = [(1, one), (1, two), (1, one + " end"), (2, two + " end"), (None, three), (None, three + " end")]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["text"][0]) for r in kept) == [("1", "a"), ("1", "b"), ("None", "c")]
+
+
 def test_search_odd_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 7]) for i in range(250)]
