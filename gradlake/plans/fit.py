@@ -413,7 +413,9 @@ def _partial_gradient(w: np.ndarray, n: int):
         held = np.zeros(n)
         for table in tables:
             if table.num_rows:
-                flat = table.column("features").flatten().to_numpy(zero_copy_only=False)
+                entries = table.column("features").flatten()
+                S.refuse_nulls(entries, table.column("label"))
+                flat = entries.to_numpy(zero_copy_only=False)
                 if flat.size != table.num_rows * n:
                     raise ValueError(f"every row must hold {n} features")
                 x = flat.reshape(table.num_rows, n)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradlake.plans.moments import symmetric
+from gradlake.plans.moments import refuse_nulls, symmetric
 
 GROUP_BYTES = 64 * 2**20
 PIECE_SCHEMA = "epoch int, batch bigint, whole boolean, data array<double>"
@@ -93,7 +93,9 @@ def block_pieces(
             raise ValueError("row ids repeat")
         if n > most_rows:
             raise ValueError(f"block {block} of epoch {epoch} holds {n} rows")
-        flat = pc.list_flatten(table.column("features").combine_chunks()).to_numpy()
+        entries = pc.list_flatten(table.column("features").combine_chunks())
+        refuse_nulls(entries, table.column("label"))
+        flat = entries.to_numpy()
         if flat.size != n * c:
             raise ValueError(f"every row must hold {c} features")
         x = flat.reshape(n, c)[order]

@@ -17,6 +17,15 @@ from gradlake.functions import vectors as V
 PARTIAL_BYTES = 128 * 2**20  # sums a Python task holds before it hands them on
 
 
+NULLS = "label and features must not be null"
+
+
+def refuse_nulls(*columns) -> None:
+    """Fail on a null in Arrow columns, which NumPy would turn into NaN."""
+    if any(c.null_count for c in columns):
+        raise ValueError(NULLS)
+
+
 def _checked(examples: DataFrame, n_features: int) -> DataFrame:
     """Fail on a row of another length instead of mixing up columns."""
     message = F.lit(f"every row must hold {n_features} features")
@@ -27,7 +36,7 @@ def _checked(examples: DataFrame, n_features: int) -> DataFrame:
 def narrow_moments(batched: DataFrame, n_features: int, keys: Sequence[str] = ()) -> DataFrame:
     """One row per key: ``rows``, ``g_i_j`` for i <= j, ``c_i``. Plain aggregates, inside code generation."""
     source = _checked(batched, n_features).select(
-        *keys, "label", *[x.alias(f"x{i}") for i, x in enumerate(V.entries(F.col("features"), n_features))]
+        *keys, V.required(F.col("label"), "label and features").alias("label"), *[V.required(x, "label and features").alias(f"x{i}") for i, x in enumerate(V.entries(F.col("features"), n_features))]
     )
     x = [F.col(f"x{i}") for i in range(n_features)]
     sums = [F.count("*").alias("rows")]
@@ -74,7 +83,9 @@ def wide_moments(batched: DataFrame, n_features: int, keys: Sequence[str] = ())
         for table in tables:
             if table.num_rows == 0:
                 continue
-            flat = table.column("features").flatten().to_numpy(zero_copy_only=False)
+            entries = table.column("features").flatten()
+            refuse_nulls(entries, table.column("label"))
+            flat = entries.to_numpy(zero_copy_only=False)
             rows = np.empty((table.num_rows, c + 1))
             rows[:, :c] = flat.reshape(table.num_rows, c)
             rows[:, c] = table.column("label").to_numpy(zero_copy_only=False)

@@ -149,6 +149,14 @@ def test_repeated_ids_fail(examples, strategy):
         P.fit(rows.union(rows), 0.1, 1, 3, strategy=strategy)
 
 
+@pytest.mark.parametrize(("c", "b", "strategy"), [(2, 5, "fold"), (2, 5, "blocks"), (2, 5, "loop"), (2, 0, "auto"), (20, 5, "fold"), (20, 0, "auto")])
+def test_nulls_fail_in_every_strategy(spark, c, b, strategy):
+    for bad in (([1.0] * c, None), ([1.0] * (c - 1) + [None], 1.0)):
+        rows = [(i, [float(i)] * c, 1.0) for i in range(19)] + [(19, *bad)]
+        with pytest.raises(Exception, match="label and features must not be null"):
+            P.fit(spark.createDataFrame(rows, "row_id bigint, features array<double>, label double"), 1e-4, 1, b, strategy=strategy)
+
+
 def test_run_record_counts_each_phase_once(spark, examples):
     x, y = data(200, 2)
     result, error = P.fit_and_score(examples(x, y), 0.1, 2, 50)
