@@ -2,7 +2,8 @@
 
 Pages that a rule allows or blocks are seeds. Trust flows from hosts with allowed pages only, along links; distrust flows from hosts
 with mostly blocked pages, against links (who links to blocked hosts is distrusted). Both are personalised PageRanks over
-the host graph. A page without a rule is blocked if its host's distrust is at least ``threshold`` and exceeds its trust.
+the host graph, in units of seed pages and not as shares of all, so pages elsewhere do not change what a link means. A page without a
+rule is blocked if its host's distrust exceeds its trust.
 
 Everything is made of DataFrame functions. Pages are reduced to hosts and distinct host pairs before anything is joined.
 """
@@ -24,7 +25,9 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS, THRESHOLD = 0.85, 10, 1e-9
+DAMPING, ROUNDS = 0.85, 10
+#: Ranks that differ by no more than this part are equal but for rounding.
+ROUNDING = 1e-9
 #: Rounds between two writes of the ranks to the shared folder.
 WRITE_EVERY = 5
 
@@ -52,13 +55,14 @@ def linked_hosts(html: Column) -> Column:
     return F.array_distinct(F.transform(links, lambda h: F.translate(h, UPPER, LOWER)))
 
 
-def rank_hosts(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def rank_hosts(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, shares: bool = True) -> DataFrame:
     """Personalised PageRank: ``host`` and ``rank`` of the hosts that rank flows to.
 
-    ``edges`` (``source``, ``target``) are distinct; ``seeds`` have ``host`` and ``weight``, of which each gets its share of the start. A host
+    ``edges`` (``source``, ``target``) are distinct; ``seeds`` have ``host`` and ``weight``, of which each gets its share of the start, or all
+    of it without ``shares``: the ranks then add up to the weights, and what stands elsewhere in the graph has no part in them. A host
     without links keeps nothing for others. Ranks of a round are summed per target before they travel.
     """
-    total = seeds.agg(F.sum("weight").alias("total"))
+    total = seeds.agg((F.sum("weight") if shares else F.lit(1)).alias("total"))
     start = materialise(seeds.join(F.broadcast(total), how="cross").select("host", (F.col("weight") / F.col("total")).alias("start")), "seeds")
     degrees = edges.groupBy("source").agg(F.count("*").alias("degree"))
     links = materialise(edges.join(degrees, "source").select("source", "target", "degree"), "edges")
@@ -72,7 +76,7 @@ def rank_hosts(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rou
     return materialise(ranks, "ranks")
 
 
-def judge_urls(df: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD) -> DataFrame:
+def judge_urls(df: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """Every page's id, ``host``, ``path``, ``rule`` (null without one) and ``verdict``, with the ``trust`` and ``distrust`` of its host.
 
     A null or malformed URL has an empty host, fits no rule, and is allowed. A null html holds no links. Repeated rows give
@@ -89,12 +93,12 @@ def judge_urls(df: DataFrame, id_column: str = "page_id", url: str = "url", html
         F.count("*").alias("n"), F.count(F.when(F.col("own") == "allow", 1)).alias("allowed"), F.count(F.when(F.col("own") == "block", 1)).alias("blocked")
     )
     hosts = materialise(hosts, "hosts")
-    trust = rank_hosts(edges, hosts.filter("allowed > 0 and blocked = 0").select("host", F.col("allowed").alias("weight")), damping, rounds)
+    trust = rank_hosts(edges, hosts.filter("allowed > 0 and blocked = 0").select("host", F.col("allowed").alias("weight")), damping, rounds, shares=False)
     back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"))
-    distrust = rank_hosts(back, hosts.filter("2 * blocked > n").select("host", F.col("blocked").alias("weight")), damping, rounds)
+    distrust = rank_hosts(back, hosts.filter("2 * blocked > n").select("host", F.col("blocked").alias("weight")), damping, rounds, shares=False)
     scores = hosts.select("host").join(trust.withColumnRenamed("rank", "trust"), "host", "left").join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
     scores = materialise(scores.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "scores")
-    bad = (F.coalesce("distrust", F.lit(0.0)) >= threshold) & (F.col("distrust") > F.col("trust"))
+    bad = F.col("distrust") > F.col("trust") * (1 + ROUNDING)
     found = judged.join(scores, "host", "left")
     return found.select(
         F.col("id").alias(id_column), "host", "path", "rule", F.coalesce("own", F.when(bad, "block").otherwise("allow")).alias("verdict"),

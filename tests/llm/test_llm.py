@@ -249,6 +249,22 @@ def test_urls(spark, empty):
     assert urls.judge_urls(none).count() == 0
 
 
+def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
+    def graph(k):
+        link = lambda *hosts: "".join(f'<a href="http://{h}/">' for h in hosts)
+        rows = [(f"http://bad{k}.net/es/", ""), (f"http://good{k}.com/", link(f"liked{k}.org")), (f"http://liked{k}.org/x", link(f"bad{k}.net")), (f"http://far{k}.org/x", link(f"near{k}x0.org"))]
+        return rows + [(f"http://near{k}x{i}.org/x", link(f"bad{k}.net")) for i in range(400)]
+
+    def verdicts(rows, more):
+        df = spark.createDataFrame(rows, "url string, html string").union(spark.range(more).selectExpr("'http://big.net/es/'", "''"))
+        found = urls.judge_urls(df.selectExpr("1L as page_id", "url", "html")).filter("host not in ('big.net')").select("host", "verdict").collect()
+        return {(re.sub(r"\d+(x|\.)", r"\1", r["host"]), r["verdict"]) for r in found}
+
+    alone = verdicts(graph(0), 0)
+    assert {v for h, v in alone if h.startswith(("near", "far"))} == {"block"} and ("liked.org", "allow") in alone
+    assert verdicts(graph(0), 500_000) == alone and verdicts([r for k in range(20) for r in graph(k)], 0) == alone
+
+
 def test_host_ranks_equal_a_loop(spark):
     rng = random.Random(2)
     pairs = sorted({(f"h{rng.randrange(12)}", f"h{rng.randrange(12)}") for _ in range(40)})
