@@ -1,12 +1,13 @@
 """Secret scans: plain patterns, and multipart credentials linked by joining intervals inside scopes.
 
 Base patterns report on their own. Weak parts (an identifier, a secret-like value, an endpoint) mean little alone; one is reported
-only where a part of another role lies in the same scope, at most ``reach`` characters away. A scope is a paragraph: the lines
-between two blank lines. The join is a merge of the sorted intervals of one text, so it takes no more than sorting them.
+only where a part of another role lies in the same scope. A scope is a paragraph: the lines between two blank lines. A caller may ask
+for parts at most ``reach`` characters apart. The join is a merge of the sorted intervals of one text, so it takes no more than sorting them.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 
@@ -27,6 +28,7 @@ IDENTIFIER = re.compile(r"(?i:\b(?:user(?:name)?|login|account|client_?id|access
 VALUE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9._~:@\[\]-]+(?:/[^\s\"'<>]*)?|(?i:\b(?:host|endpoint|server))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]{3,}", re.ASCII)
 BLANK = re.compile(r"\n[\x20\x09-\x0D]*\n")
+#: Of a single scan; whole tables are joined over whole scopes.
 REACH = 200
 
 
@@ -57,7 +59,7 @@ def weak_parts(text: str) -> list[tuple[int, int, int]]:
 ROLE = {0: "secret", 1: "identifier", 2: "secret", 3: "identifier", 4: "secret", 5: "endpoint"}
 
 
-def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], breaks: list[int], reach: int = REACH) -> list[tuple[int, int, int]]:
+def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], breaks: list[int], reach: float = REACH) -> list[tuple[int, int, int]]:
     """The weak parts with a part of another role in their scope and within reach.
 
     ``breaks`` are the ends of scopes, ascending. Overlapping parts are one thing and no complement of each other; a weak part that
@@ -97,7 +99,7 @@ def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], b
     return [p for p, ok in zip(parts, near, strict=True) if ok and p[2] >= 3 and not overlaps_base(p[0], p[1])]
 
 
-def scan(text: str, reach: int = REACH) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan(text: str, reach: float = REACH) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base spans, and the weak parts that complete one another or a base span."""
     base, weak = base_spans(text), weak_parts(text)
     if not weak or len(base) + len(weak) < 2:
@@ -105,9 +107,11 @@ def scan(text: str, reach: int = REACH) -> tuple[list[tuple[int, int, int]], lis
     return base, linked(base, weak, [m.start() for m in BLANK.finditer(text)], reach)
 
 
-def find_secrets(df: DataFrame, id_column: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
+def find_secrets(df: DataFrame, id_column: str = "doc_id", text: str = "text", reach: float = math.inf) -> DataFrame:
     """One row per text: the id, ``base`` and ``added`` as arrays of (start, end, kind), sorted by start and kind.
 
+    Parts are joined over their whole scope unless ``reach`` says how many characters apart they may lie.
+
     Positions are code points, ends exclusive. A null text counts as empty; every input row gives one row, whatever its id; other
     columns are left out. A text is scanned whole.
     """
