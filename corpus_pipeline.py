@@ -20,12 +20,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each line of ten characters or more in the first of its documents only."""
-    return lines.without_repeats(docs).drop("n_lines", "n_dropped").withColumn("n_chars", F.char_length("text").cast("bigint"))
+    """All documents, each line of ten characters or more in the first of its documents only; ``n_chars`` is that of the text left.
+
+    The columns are those of ``docs``, found by place and exact spelling: others may have any names.
+    """
+    names = docs.columns
+    plain = lines.without_repeats(docs).toDF(*(f"c{i}" for i in range(len(names) + 2)))
+    length = F.char_length(f"c{names.index('text')}").cast("bigint")
+    left = [length if n == "n_chars" else F.col(f"c{i}") for i, n in enumerate(names)]
+    return plain.select(*(c.alias(f"d{i}") for i, c in enumerate(left))).toDF(*names)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group that the fingerprints of three-word shingles link at two bits."""
     return simhash.drop_near_copies(docs)
 
 

@@ -8,17 +8,14 @@ chains prune them before the whole fingerprints are compared. Keys cover about h
 
 from __future__ import annotations
 
-import math
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradlake.llm.common import parts, pick, table
-from gradlake.llm.components import connected, link
+from gradlake.llm.common import pick, table
+from gradlake.llm.components import link
 from gradlake.session import materialise
 
 BITS = 64
@@ -118,17 +115,35 @@ def near_components(nodes: DataFrame, most_bits: int, columns: list[str], verify
     return link(keyed, lambda key, x, y: ring.similar(F.pmod(F.shiftrightunsigned(key, KEY_BITS), F.lit(starts)), x, y), verify)
 
 
-def fingerprints(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """``row`` (the id) and ``node`` (the fingerprint as a signed 64-bit integer) of every text, null ones as empty."""
-    rows = pick(df, row=id_column, text=text).select("row", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+def class_of(text: Column) -> Column:
+    """A digest of the whole text, equal for exact copies; null texts count as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def fingerprints(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, digest: bool = False) -> DataFrame:
+    """``row`` (the id) and ``node`` (the fingerprint as a signed 64-bit integer) of every text, null ones as empty.
+
+    ``digest`` adds ``class`` (see :func:`class_of`).
+    """
+    rows = pick(df, row=id_column, text=text)
     kind = rows.schema["row"].dataType.simpleString()
+    more = [class_of(F.col("text")).alias("class")] if digest else []
+    rows = rows.select("row", F.coalesce("text", F.lit("")).cast("binary").alias("text"), *more)
 
     def run(batches):
         for batch in batches:
             found = [signed(fingerprint(shingles(t.as_py().lower().split(), words))) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["row", "node"])
+            kept = {"row": batch.column(0), "node": pa.array(found, pa.int64())} | ({"class": batch.column(2)} if digest else {})
+            yield pa.RecordBatch.from_arrays(list(kept.values()), list(kept))
 
-    return rows.mapInArrow(run, f"row {kind}, node bigint")
+    return rows.mapInArrow(run, f"row {kind}, node bigint" + ", class binary" * digest)
+
+
+def rooted_nodes(marked: DataFrame, most_bits: int) -> DataFrame:
+    """``node``, ``low`` (its smallest id) and ``root`` (the smallest node of its component) of every distinct fingerprint."""
+    nodes = materialise(marked.groupBy("node").agg(F.min("row").alias("low")), "nodes")
+    roots = near_components(nodes.withColumn("value", F.col("node")), most_bits, ["value"])
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, most_bits: int = MOST_BITS) -> DataFrame:
@@ -138,190 +153,37 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     Rows with a null id take part, but null is never the smallest id unless the whole component has no other. Other columns are left out.
     """
     marked = materialise(fingerprints(df, id_column, text, words), "fingerprints")
-    nodes = materialise(marked.groupBy("node").agg(F.min("row").alias("low")), "nodes")
-    roots = near_components(nodes.withColumn("value", F.col("node")), most_bits, ["value"])
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rooted_nodes(marked, most_bits)
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lowest, "root").select("node", "component_id")
     return marked.join(named, "node").select(F.col("row").alias(id_column), F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints and components of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
-
-
-#: Near copies by words: candidates by four fingerprints of the set of words, of which one differs in four bits, and by rare shingles;
-#: a link where the sets of five-word shingles agree by 0.8.
-TABLES, TABLE_BITS, COPY_WORDS, SIMILARITY = 4, 4, 5, 0.8
-#: How often shingles occur is counted in so many cells, over a sample of about so many texts.
-CELLS, COUNTED = 1 << 18, 20_000
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
-
-
-def size_groups(n: int, similarity: float) -> list[int]:
-    """The group of a set by its size, doubling from one to the next, and those in which the larger sets lie that can be similar to it.
-
-    Two sets of a Jaccard similarity of at least ``similarity`` differ in size by no more than that, so they share a group.
-    """
-    return list(range(n.bit_length(), int(n / similarity + 1e-6).bit_length() + 1))
-
-
-def word_marks(words: set[bytes], tables: int) -> list[int]:
-    """``tables`` fingerprints of a set of words: bit by bit what over half of their hashes have. A word is hashed once; the tables mix that hash."""
-    total, listed = np.zeros((tables, BITS), np.int64), list(words)
-    for start in range(0, len(listed), 1 << 16):
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in listed[start : start + (1 << 16)]), np.uint64)
-        for i in range(tables):
-            mixed = hashes + np.uint64(0x9E3779B97F4A7C15 * (i + 1) & (1 << 64) - 1)
-            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(31)
-            total[i] += np.unpackbits(mixed.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return [signed(int.from_bytes(row.tobytes(), "big")) for row in np.packbits(2 * total > len(listed), axis=1)]
-
-
-@lru_cache(8)
-def shingle_set(text: bytes, words: int) -> frozenset[bytes]:
-    return frozenset(shingles(words_of(text), words))
-
+def drop_near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, most_bits: int = MOST_BITS) -> DataFrame:
+    """One row of every component of :func:`near_duplicates`: the one with the smallest id, with all its columns.
 
-def shingle_count(words: list[bytes], n: int) -> int:
-    """The size of the set of shingles."""
-    if len(words) < n:
-        return min(len(words), 1)
-    return len(set(zip(*(words[i:] for i in range(n)), strict=False)))
-
-
-def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
-    """A number for every shingle of the set, ascending."""
-    if len(words) < n:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
-    known = {w: xxhash.xxh3_64_intdigest(w, SEED) for w in set(words)}
-    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    total = np.zeros(len(words) - n + 1, np.uint64)
-    for i in range(n):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(total)]
-    return np.unique(total ^ (total >> np.uint64(32)))
-
-
-def rare_shingles(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """The prefix of a set: its shingles from the rarest cell on, as many as it may lack of a similar set and one more.
-
-    Sets of a Jaccard similarity of at least ``similarity`` share a shingle of their prefixes, whatever ``counts`` holds, as all
-    sets are put in the same order. The empty set has one key of its own.
+    Of several rows with that id the one with the smallest digest of its text stays, and of equal ones any. A component without any
+    id keeps one of its rows in the same way. Null and empty texts form one component. Other columns may have any names.
     """
-    n = len(hashes)
-    if not n:
-        return np.zeros(1, np.uint64)
-    most = n - math.ceil(similarity * n - 1e-6) + 1
-    return hashes[np.lexsort((hashes, counts[hashes % np.uint64(len(counts))]))[:most]]
-
-
-def count_shingles(rows: DataFrame, words: int) -> np.ndarray:
-    """How many texts of a sample have shingles in each of ``CELLS`` cells; only the order of keys depends on it, no result does."""
-    bound = -(1 << 63) + int((1 << 64) * min(1, COUNTED / max(1, rows.count())))
-
-    def run(batches):
-        total = np.zeros(CELLS, np.int64)
-        for batch in parts(batches, 0):
-            for t in batch.column(0).to_pylist():
-                np.add.at(total, (shingle_hashes(words_of(t), words) % np.uint64(CELLS)).astype(np.int64), 1)
-        (cells,) = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], ["cell", "n"])
-
-    few = rows.filter(F.xxhash64("class") <= min(bound, (1 << 63) - 1)).select("text")
-    found = few.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CELLS, np.int64)
-    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return counts
-
-
-def shingle_components(nodes: DataFrame, similarity: float, verify) -> DataFrame:
-    """Components of ``node`` (with ``size`` and ``rare``, the prefix of its set), linked where two share a key, their sizes allow for it and ``verify`` agrees."""
-    keyed = nodes.select("node", F.col("size").alias("value"), F.explode("rare").alias("key"))
-    # most keys are of one text only
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    met = materialise(keyed.join(shared, "key", "semi").select("key", "node", "value"), "keyed")
-    return link(met, lambda key, x, y: F.least(x, y) >= similarity * F.greatest(x, y) - 1e-6, verify)
-
-
-def class_of(text: Column) -> Column:
-    """A digest of the whole text, equal for exact copies; null texts count as empty."""
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    marked = materialise(fingerprints(df, id_column, text, words, digest=True), "fingerprints")
+    rooted = rooted_nodes(marked, most_bits).select("node", "root")
+    # copies are counted per task first, so a large group of them crosses the shuffles as few rows
+    rows = marked.groupBy("node", "row", "class").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("row").isNull().alias("none"), "row", "class", "n")).alias("first")
+    kept = rows.groupBy("node").agg(first).join(rooted, "node").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = materialise(kept.select(F.col("row").alias("own_row"), F.col("class").alias("own_class"), "n"), "kept")
+    names = df.columns
+    own, place = names.index(id_column), names.index(text)
+    plain = df.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("class", class_of(F.col(f"c{place}")))
+    same = (F.col("class") == F.col("own_class")) & F.col(f"c{own}").eqNullSafe(F.col("own_row"))
+    # only rows that occur again have to meet once more
+    single = plain.join(kept.filter("n = 1"), same, "semi")
+    again = plain.join(kept.filter("n > 1"), same, "semi").dropDuplicates(["class", f"c{own}"])
+    return single.union(again).drop("class").toDF(*names)
 
 
-def near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY, tables: int = TABLES, most_bits: int = TABLE_BITS) -> DataFrame:
-    """``class`` (see :func:`class_of`), ``row`` (an id with that text), ``root`` (a number of its component) and ``component_id`` (the
-    smallest id there) for every distinct pair of text and id.
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
-    Texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``. Candidates come from
-    ``tables`` fingerprints of the set of single words, of which one must agree but for ``most_bits`` bits, and from the rarest shingles
-    of each text (see :func:`rare_shingles`), which lose no link; the numbers of shingles must allow for the similarity. Candidates carry a
-    number for each distinct text, given once and written down.
-    """
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity must lie above 0 and not above 1")
-    rows = pick(df, row=id_column, text=text).select("row", class_of(F.col("text")).alias("class"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    names = [f"f{i}" for i in range(tables)]
-    counts = df.sparkSession.sparkContext.broadcast(count_shingles(rows, words))
 
-    def run(batches):
-        for batch in parts(batches, 2):
-            own = [words_of(t) for t in batch.column(2).to_pylist()]
-            groups = pa.array([size_groups(shingle_count(w, words), similarity) for w in own], pa.list_(pa.int32()))
-            sets = [shingle_hashes(w, words) for w in own]
-            size = pa.array([len(s) for s in sets], pa.int64())
-            rare = pa.array([rare_shingles(s, counts.value, similarity).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            marks = list(zip(*(word_marks(set(w), tables) for w in own), strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), groups, size, rare, *(pa.array(m, pa.int64()) for m in marks)], ["row", "class", "groups", "size", "rare", *names])
-
-    marked = materialise(rows.mapInArrow(run, f"row {kind}, class binary, groups array<int>, size bigint, rare array<bigint>, " + ", ".join(f"{n} bigint" for n in names)), "marks")
-    distinct = marked.groupBy("class").agg(F.min("row").alias("low"), *(F.first(n).alias(n) for n in ("groups", "size", "rare", *names)))
-    nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = nodes.select("node", "class").join(ids, "node", "semi")
-        found = rows.select("class", "text").join(wanted, "class")
-        texts = materialise(found.select("node", "text").dropDuplicates(["node"]), "texts")
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-
-        def agree(batches):
-            for batch in parts(batches, 2, 3):
-                ok = []
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    p, q = shingle_set(x, words), shingle_set(y, words)
-                    common = len(p & q)
-                    ok.append(common >= similarity * (len(p) + len(q) - common))
-                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-        return both.select("a", "b", "x", "y").mapInArrow(agree, "a bigint, b bigint")
-
-    by_marks = near_components(nodes, most_bits, names, verify)
-    by_shingles = shingle_components(nodes, similarity, verify)
-    roots = connected(by_marks.toDF("a", "b").union(by_shingles.toDF("a", "b")))
-    rooted = nodes.select("node", "class", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("class", "root", "component_id")
-    return marked.select("class", "row").distinct().join(named, "class")
-
-
-def drop_near_copies(df: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of every group of near copies: the one with the smallest id (repeated rows collapse), with all its columns.
-
-    A group without any id keeps one of its rows. Null and empty texts form one group.
-    """
-    found = near_copies(df, id_column, text, **options)
-    keep = found.filter(F.col("row").eqNullSafe(F.col("component_id")))
-    # texts of one component under the same smallest id are one row as well; an id may lead several components
-    keep = keep.groupBy("root", F.col("row").alias("own_row")).agg(F.min("class").alias("own_class")).select("own_class", "own_row")
-    names = df.columns
-    own, place = names.index(id_column), names.index(text)
-    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
-    classed = plain.withColumn("class", class_of(F.col(f"c{place}")))
-    rows = classed.join(keep, (F.col("class") == F.col("own_class")) & F.col(f"c{own}").eqNullSafe(F.col("own_row")), "semi")
-    return rows.dropDuplicates(["class", f"c{own}"]).drop("class").toDF(*names)

@@ -331,58 +331,43 @@ def test_fingerprints(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-def test_similar_sets_share_a_group():
-    for similarity in (0.5, 0.8, 1.0):
-        for small in range(200):
-            for large in range(small, int(small / similarity) + 2):
-                share = set(simhash.size_groups(small, similarity)) & set(simhash.size_groups(large, similarity))
-                assert share or small < similarity * large
+def brute_fingerprint(text, words=3):
+    found = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().lower())
+    grams = [b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))] if found else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_near_copies(spark, docs, odd, empty):
+def test_near_copies_equal_brute_force(spark, odd, empty):
     rng = random.Random(8)
-    words = [f"w{rng.randrange(10**6)}" for _ in range(900)]
     rows = []
-    for g in range(3):
-        base = words[g * 300 : g * 300 + 200]
+    for g in range(4):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(1500)]
         for c in range(12):
             own = list(base)
-            if c:
-                own[rng.randrange(200)] = "changed"
+            for i in rng.sample(range(1500), c // 3):
+                own[i] = "changed"
             rows.append((100 * g + c, " ".join(own)))
-    rows.append((999, " ".join(words[:100] + words[300:400])))
+    rows += [(999, "some other text that stands alone"), (7, rows[7][1]), (998, None), (997, " ")]
+    marks = [brute_fingerprint(t) for _, t in rows]
+    roots = brute_roots(sorted(set(marks)), lambda a, b: (a ^ b).bit_count() <= 2)
+    best = {}
+    for (i, _), m in zip(rows, marks):
+        best[roots[m]] = min(best.get(roots[m], i), i)
     kept = simhash.drop_near_copies(table(spark, rows))
-    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == [0, 100, 200, 999] and len(kept.columns) == 7
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted(best.values()) and len(kept.columns) == 7
+    # neighbours by fingerprint are needed, copies of one fingerprint alone would keep more
+    assert len(best) < len(set(marks))
     left = sorted(str(r[0]) for r in simhash.drop_near_copies(odd).toDF(*"abcdefg").select("a").collect())
-    assert left == ["1", "2", "3", "5", "6"]
+    marks = {str(i): brute_fingerprint(t) for i, t in ODD if i is not None}
+    roots = brute_roots(sorted(set(marks.values())), lambda a, b: (a ^ b).bit_count() <= 2)
+    best = {}
+    for i, m in marks.items():
+        best[roots[m]] = min(best.get(roots[m], i), i)
+    assert set(left) - {"None"} == set(best.values()) and len(left) >= len(best)
     assert simhash.drop_near_copies(empty).count() == 0
 
 
-def test_near_copies_of_any_edit_equal_brute_force(spark):
-    rng = random.Random(12)
-    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
-    # a passage that all share, so keys are not all of one text
-    common = fresh(12)
-    texts = [["four", "words", "of", "text"], ["four", "words", "of", "Text"], ["one"], []]
-    for n in (20, 100, 300):
-        for share in (0.02, 0.05, 0.1, 0.15, 0.2, 0.24, 0.27):
-            for edit in ("append", "cut", "insert", "scatter"):
-                base, k = common + fresh(n), max(1, round(share * n))
-                at = rng.randrange(n - k)
-                if edit == "scatter":
-                    own = list(base)
-                    for i in rng.sample(range(len(own)), max(1, k // 8)):
-                        own[i] = "other"
-                else:
-                    own = {"append": base + fresh(k), "cut": base[:at] + base[at + k :], "insert": base[:at] + fresh(k) + base[at:]}[edit]
-                texts += [base, own]
-    sets = [set(zip(*(t[i:] for i in range(5)))) if len(t) >= 5 else {tuple(w.lower() for w in t)} - {()} for t in texts]
-    want = brute_roots(range(len(texts)), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    assert {r["row"]: r["component_id"] for r in simhash.near_copies(df).collect()} == want
-    assert sum(i != r for i, r in want.items()) > 40
-
-
 def test_one_id_on_unrelated_texts(spark):
     one, two, three = (" ".join(f"{c}{i}" for i in range(200)) for c in "abc")
     rows = [(1, one), (1, two), (1, one + " end"), (2, two + " end"), (None, three), (None, three + " end")]
@@ -429,3 +414,18 @@ def test_pipeline_stages(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         none = corpus_pipeline.materialise(stage(spark, none, SF_DIR))
     assert none.count() == 0
+
+
+def test_pipeline_stages_with_odd_rows_and_clashing_columns(spark, odd):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, odd, SF_DIR)
+        if name == "BPE encoding":
+            assert found.count() == len(ODD)
+            continue
+        assert found.columns == odd.columns
+        # what clashes by case cannot be written as Parquet, so the columns are told apart by place
+        plain = found.toDF(*"abcdefg")
+        assert {tuple(r)[2:] for r in plain.collect()} <= {("x", 1, 2, 3, 4)}
+        if name in ("quality classifier", "line dedup"):
+            assert plain.count() == len(ODD)
