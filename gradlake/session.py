@@ -51,4 +51,14 @@ def materialise(df: DataFrame, stem: str = "table") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, f"gradlake-{stem}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that nothing reads any more; results derived from them must have been written."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
