@@ -67,3 +67,19 @@ def parts(batches: Iterator[pa.RecordBatch], *places: int, most: int = PART_BYTE
             sizes = [a + (b or 0) for a, b in zip(sizes, pc.binary_length(batch.column(place)).to_pylist(), strict=True)]
         for start, end in slices(sizes, most):
             yield batch.slice(start, end - start)
+
+
+#: For DuckDB: ``crc_table``, the 256 steps of crc32 for one byte, made from the polynomial.
+CRC32_SQL = """
+crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def crc32_sql(source: str, key: str) -> str:
+    """For DuckDB: the rows of ``source`` with ``h``, the crc32 of the text ``key`` in UTF-8; ``CRC32_SQL`` comes before it."""
+    return f"""
+  SELECT * EXCLUDE (hexes, t), xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(hexes), 2), lambda i: ('0x' || substr(hexes, i, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295::BIGINT) AS h
+  FROM (SELECT *, hex(encode({key})) AS hexes FROM {source}) CROSS JOIN crc_table"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradlake.llm import bpe, decontaminate, lines, merkle, pages, quality, secrets, simhash, topk, urls
+from gradlake.llm import bpe, decontaminate, lines, merkle, pages, quality, secrets, simhash, spelling, topk, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_topk": topk.op9_topk,
     "op10_bpe": bpe.op10_bpe,
+    "op11_spelling": spelling.op11_spelling,
 }
 
-ORACLES = {"op3_merkle": merkle.OP3_SQL, "op5_lines": lines.OP5_SQL, "op9_topk": topk.OP9_SQL}
+ORACLES = {"op3_merkle": merkle.OP3_SQL, "op5_lines": lines.OP5_SQL, "op9_topk": topk.OP9_SQL, "op11_spelling": spelling.OP11_SQL}
