@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradlake.llm import bpe, decontaminate, lines, merkle, pages, quality, repair, secrets, simhash, spelling, topk, urls
+from gradlake.llm import bpe, decontaminate, lines, merkle, packing, pages, quality, repair, secrets, simhash, spelling, topk, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
     "op10_bpe": bpe.op10_bpe,
     "op11_spelling": spelling.op11_spelling,
+    "op12_packing": packing.op12_packing,
     "op13_repair": repair.op13_repair,
 }
 
