@@ -178,11 +178,11 @@ def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list
 
 
 def assign_units(
-    df: DataFrame, order: EpochOrder, unit_rows: int, end: int, row_id: str = "row_id", unit: str = "batch"
+    df: DataFrame, order: EpochOrder, unit_rows: int, end: int, row_id: str = "row_id", unit: str = "batch", keep_key: bool = False
 ) -> DataFrame:
     """Cut the first ``end`` rows of the random order into consecutive units of ``unit_rows`` rows.
 
-    Adds ``epoch`` and the unit number, and leaves out the rows after position ``end``.
+    Adds ``epoch`` and the unit number, and with ``keep_key`` the ``order_key``; leaves out the rows after position ``end``.
     """
     units = -(-end // unit_rows)
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
@@ -213,7 +213,7 @@ def assign_units(
     key, r = F.col("order_key"), F.col(row_id)
     after_low = (key > F.col("low_key")) | ((key == F.col("low_key")) & (r >= F.col("low_id")))
     before_high = (key < F.col("high_key")) | ((key == F.col("high_key")) & (r < F.col("high_id")))
-    return placed.where(after_low & before_high).drop("order_key", "bucket", "low_key", "low_id", "high_key", "high_id")
+    return placed.where(after_low & before_high).drop(*["order_key"] * (not keep_key), "bucket", "low_key", "low_id", "high_key", "high_id")
 
 
 def assign_runs(df: DataFrame, order: EpochOrder, rows: int, end: int, row_id: str = "row_id") -> DataFrame:

@@ -9,8 +9,9 @@ Strategies, all giving the same weights up to rounding:
             batch moments are few and small. ``batch_size = 0`` needs one pass for all epochs together.
 ``blocks``  Rows move once per epoch to blocks of consecutive batches, each block becomes one affine map, and the maps are
             composed in a tree. For many batches or many features.
-``loop``    One job per batch on a table that is sorted by batch inside its partitions. For very wide models, whose maps
-            would be larger than the data.
+``steps``   Rows move once per epoch to blocks of consecutive batches, and the weights go from block to block, one small job each. For
+            wide models, whose maps cost more than the rows. A table of one block goes through all epochs in one task.
+``loop``    One job per batch on a table that is sorted by batch inside its partitions. For batches larger than the blocks of ``steps``.
 """
 
 from __future__ import annotations
@@ -41,14 +42,19 @@ from gradlake.operators.ordering import (
 )
 from gradlake.plans import maps as M
 from gradlake.plans import moments as S
+from gradlake.plans import steps as T
 
-STRATEGIES = ("auto", "fold", "blocks", "loop")
+STRATEGIES = ("auto", "fold", "blocks", "steps", "loop")
 DRIVER_BYTES = 64 * 2**20  # batch statistics or maps that may reach the driver at a time
 BLOCK_BYTES = 64 * 2**20  # rows of one block, in one Python task
 LARGEST_BLOCK_BYTES = 512 * 2**20
 MANY_BLOCKS = 2**17
 WIDEST_MAP = 2048  # beyond this many features a map of one block outgrows a task
 SHUFFLED_BYTES = 256 * 2**30  # rows that one pass over several epochs may move
+STORED_BYTES = 4 * 2**30  # blocks that ``steps`` lays down at a time
+GRAM_ROWS = 1024  # rows of a block that is cut by columns; their Gram matrix passes through the driver
+STEPS_OF_A_TASK = 2**18  # batches of all epochs that one task may go through, some seconds
+CORES_PER_MAP = 30  # features for each core from which on stepping through the rows in one task is faster than maps on all cores
 SMALL_BYTES = 2**30  # a table that Spark may read in a handful of tasks
 
 
@@ -81,12 +87,17 @@ def weights_table(spark: SparkSession, weights: Sequence[float]) -> DataFrame:
     return spark.createDataFrame([(j, float(v)) for j, v in enumerate(weights)], "feature_idx int, w double")
 
 
-def choose_strategy(n_rows: int, n_features: int, batch_size: int, epochs: int) -> str:
-    if n_features > WIDEST_MAP:
-        return "loop"
+def choose_strategy(n_rows: int, n_features: int, batch_size: int, epochs: int, cores: int = 2**30) -> str:
     if batch_size == 0:
-        return "fold"
+        return "loop" if n_features > WIDEST_MAP else "fold"
     batches = number_of_batches(n_rows, batch_size)
+    row_bytes = (n_features + 1) * 8
+    if n_rows * row_bytes <= BLOCK_BYTES and batches * epochs <= STEPS_OF_A_TASK:
+        return "steps"
+    if n_features > WIDEST_MAP:
+        return "steps" if batch_size * row_bytes <= BLOCK_BYTES or batch_size < GRAM_ROWS // 2 else "loop"
+    if n_features > CORES_PER_MAP * cores and batch_size * row_bytes <= BLOCK_BYTES:
+        return "steps"
     if n_features <= V.UNROLL and _moment_bytes(batches, n_features) <= DRIVER_BYTES:
         return "fold"
     if batch_size * (n_features + 1) * 8 <= LARGEST_BLOCK_BYTES:
@@ -124,7 +135,8 @@ def fit(
         raise ValueError(f"{w.size} initial weights do not fit {n_features} features")
     run = _Run(examples, n_features, lr, epochs, batch_size, decay_power, seed, shuffle, order)
     run.start()
-    chosen = choose_strategy(run.n_rows, n_features, batch_size, epochs) if strategy == "auto" else strategy
+    cores = examples.sparkSession.sparkContext.defaultParallelism
+    chosen = choose_strategy(run.n_rows, n_features, batch_size, epochs, cores) if strategy == "auto" else strategy
     started = time.perf_counter()
     held = run.hold_small(chosen)
     try:
@@ -134,6 +146,8 @@ def fit(
             w = run.full_batch(w)
         elif chosen == "blocks":
             w = run.blocks(w)
+        elif chosen == "steps":
+            w = run.steps(w)
         else:
             w = run.fold(w)
     finally:
@@ -151,12 +165,15 @@ def fit_and_score(examples: DataFrame, lr: float, epochs: int, batch_size: int,
 
 
 def run_record(result: FitResult, error: float, read_millis: float = 0.0) -> dict[str, float]:
-    """The five numbers of a run record. Each phase is counted once, in milliseconds."""
+    """The five numbers of a run record. Each phase is counted once, in milliseconds.
+
+    ``read_millis`` is time spent on reading before the fit; what the fit itself has measured of it is added.
+    """
     return {
         "shuffle_time": result.millis("shuffle"),
         "total_gradient_time": result.millis("gradient"),
         "gpu_time": result.millis("total"),
-        "transfer_time": float(read_millis),
+        "transfer_time": float(read_millis) + result.millis("transfer"),
         "error": float(error),
     }
 
@@ -216,6 +233,8 @@ class _Run:
         """
         if self.n_rows * (self.n_features + 2) * 8 > SMALL_BYTES or (self.batch_size == 0 and strategy != "loop"):
             return None
+        if strategy == "steps" and self._one_block():
+            return None
         cores = self.examples.sparkSession.sparkContext.defaultParallelism
         spread = self.examples.select("row_id", "features", "label").repartition(cores, "row_id")
         self.examples = spread.persist(StorageLevel.MEMORY_AND_DISK)
@@ -368,6 +387,84 @@ class _Run:
             w = _finite(moved, epoch)
         return w
 
+    # -- steps
+
+    def _one_block(self) -> bool:
+        return self.n_rows * (self.n_features + 1) * 8 <= BLOCK_BYTES
+
+    def steps(self, w: np.ndarray) -> np.ndarray:
+        """Blocks of consecutive batches, laid down for some epochs at a time; the weights go from one to the next."""
+        if self._one_block():
+            return self._in_one_task(w)
+        row_bytes, end = (self.n_features + 1) * 8, self.num_batches * self.batch_size
+        if self.batch_size * row_bytes > BLOCK_BYTES and self.batch_size < GRAM_ROWS // 2:
+            return self._sliced_steps(w)
+        rows = max(1, BLOCK_BYTES // row_bytes)
+        bits = min(MOST_BITS, max(FEW_BITS, math.ceil(math.log2(8 * self.n_rows / rows))))
+        per_epoch = -(-self.n_rows // rows) + 1
+        at_once = max(1, min(STORED_BYTES // (end * row_bytes), epochs_per_pass(bits)))
+        for epochs in _chunks(range(1, self.epochs + 1), at_once):
+            if self.shuffle:
+                placed = assign_runs(self.examples, self._order_of(epochs, bits), rows, end)
+            else:
+                placed = self._in_row_order(epochs, rows, "block").withColumn("first_pos", F.col("block") * rows).withColumn("order_key", F.col("row_id"))
+            started = time.perf_counter()
+            first = epochs[0]
+            held = T.stored_blocks(placed, self.n_features, lambda epoch, block: (epoch - first) * per_epoch + block, per_epoch * len(epochs))
+            try:
+                held.count()
+                self._timed(first, "shuffle", started)
+                context, chunks, pending = self.examples.sparkSession.sparkContext, held.rdd, np.zeros(self.n_features)
+                for epoch in epochs:
+                    started = time.perf_counter()
+                    for block in range(per_epoch):
+                        job = T.step_through(w, pending, self.batch_size, end, self.rate(epoch))
+                        ((w, pending),) = context.runJob(chunks, job, [(epoch - first) * per_epoch + block])
+                    w = _finite(w, epoch)
+                    self._timed(epoch, "gradient", started)
+            finally:
+                held.unpersist()
+        return w
+
+    def _in_one_task(self, w: np.ndarray) -> np.ndarray:
+        rates = [self.rate(e) for e in range(1, self.epochs + 1)]
+        found = T.all_epochs(self.examples, w, self.batch_size, rates, self.seed, self.shuffle)
+        if found.rows != self.n_rows:
+            raise ValueError("the data changed while it was read")
+        self.phases.append((1, "transfer", found.read))
+        for epoch, (shuffled, stepped) in enumerate(zip(found.shuffle, found.gradient), 1):
+            self.phases += [(epoch, "shuffle", shuffled), (epoch, "gradient", stepped)]
+        return _finite(found.weights, found.epoch)
+
+    def _sliced_steps(self, w: np.ndarray) -> np.ndarray:
+        """Blocks of whole batches, cut by columns; a block takes two jobs however many batches it holds."""
+        n, b = self.n_features, self.batch_size
+        each = GRAM_ROWS // b
+        width = max(1, BLOCK_BYTES // (8 * each * b))
+        blocks, end = -(-self.num_batches // each), self.num_batches * b
+        at_once = max(1, min(STORED_BYTES // (end * (n + 1) * 8), epochs_per_pass(self._bits())))
+        for epochs in _chunks(range(1, self.epochs + 1), at_once):
+            first = epochs[0]
+            if self.shuffle:
+                placed = assign_units(self.examples, self._order_of(epochs, self._bits()), each * b, end, unit="block", keep_key=True)
+            else:
+                placed = self._in_row_order(epochs, each * b, "block").where(F.col("row_id") < end).withColumn("order_key", F.col("row_id"))
+            started = time.perf_counter()
+            stored = T.sliced_blocks(placed, n, width, lambda epoch, block: (epoch - first) * blocks + block, blocks * len(epochs))
+            try:
+                stored.grams.count()
+                self._timed(first, "shuffle", started)
+                for epoch in epochs:
+                    started = time.perf_counter()
+                    for block in range(blocks):
+                        w = T.step_over(stored, (epoch - first) * blocks + block, w, b, self.rate(epoch))
+                    w = _finite(w, epoch)
+                    self._timed(epoch, "gradient", started)
+            finally:
+                stored.grams.unpersist()
+                stored.chunks.unpersist()
+        return w
+
     # -- loop
 
     def loop(self, w: np.ndarray) -> np.ndarray:
