@@ -2,11 +2,13 @@
 
 Each row has a random key per epoch. The leading bits of the key split the rows into equally filled, ordered buckets, so
 
-* the position of a row is the number of rows in earlier buckets plus its rank inside its own small bucket, and
-* the row that starts a batch is found by ranking only the buckets in which a batch starts. Every other row gets its batch
-  by comparing its key with those few cut keys; the table itself is neither shuffled nor sorted for that.
+* the position of a row is the number of rows in earlier buckets plus its rank inside its own small bucket,
+* the row that starts one of few batches is found by ranking only the buckets in which a batch starts. Every other row gets its batch
+  by comparing its key with those few cut keys; the table itself is neither shuffled nor sorted for that, and
+* of many batches, small against a bucket, each row takes its own from its position. Rows move once, to their buckets, and no key
+  leaves the executors.
 
-Only bucket counts and cut keys pass through the driver. Their number is bounded here, whatever the size of the table.
+Only bucket counts and a bounded number of cut keys pass through the driver, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from gradlake.functions.seeded import KEY_BITS, order_key, order_words
 
 # A task counts its own rows per bucket first, so the buckets must stay few against the rows of a task.
 FEW_BITS = 12
-MANY_BITS = 16
 MOST_BITS = 20
-ROWS_FOR_FEW_BITS = 2**32  # beyond this a bucket of few bits would hold more than a million rows
+BUCKET_ROWS = 2**20  # rows that a bucket should hold at most
 MAX_BUCKETS = 2**20  # buckets of all epochs measured together
 MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, about 100 MB
+MOST_CUTS = 2**16  # units of all epochs up to which rows are held against cut keys; beyond, rows are ranked
 LOWEST, HIGHEST = (-1, 0), (2**KEY_BITS, 0)  # around every key and id
 
 
@@ -74,9 +76,9 @@ def with_keys(df: DataFrame, epochs: Sequence[int], seed: int, bits: int, row_id
 
 
 def default_bits(rows: int, units: int = 1) -> int:
-    """Enough buckets that one holds at most some million rows and few cuts."""
-    bits = FEW_BITS if rows <= ROWS_FOR_FEW_BITS else MANY_BITS
-    return max(bits, min(MOST_BITS - 2, units.bit_length() + 2))
+    """Enough buckets that one holds at most some million rows, and few cuts where rows are held against cuts."""
+    bits = max(FEW_BITS, min(MOST_BITS, (max(rows, 1) - 1).bit_length() - BUCKET_ROWS.bit_length() + 1))
+    return max(bits, min(MOST_BITS - 2, units.bit_length() + 2)) if units <= MOST_CUTS else bits
 
 
 def epochs_per_pass(bits: int = FEW_BITS) -> int:
@@ -87,13 +89,22 @@ def epochs_per_pass(bits: int = FEW_BITS) -> int:
 def measure_order(
     df: DataFrame, epochs: Sequence[int], seed: int = 42, row_id: str = "row_id", bits: int | None = None
 ) -> EpochOrder:
-    """Count the rows of each bucket. Reads the id column only."""
+    """Count the rows of each bucket. Reads the id column only.
+
+    First few buckets are counted; only where one of them holds more rows than ``BUCKET_ROWS`` each is split further. Epochs whose buckets are
+    too many for one pass are counted in several, ``epochs_per_pass`` at a time.
+    """
     epochs = tuple(int(e) for e in epochs)
     if not epochs:
         raise ValueError("at least one epoch is needed")
     used = bits or FEW_BITS
-    if len(epochs) * 2**used > MAX_BUCKETS:
-        raise ValueError(f"measure at most {epochs_per_pass(used)} epochs at a time")
+    at_once = epochs_per_pass(used)
+    if len(epochs) > at_once:
+        parts = [measure_order(df, epochs[i : i + at_once], seed, row_id, used) for i in range(0, len(epochs), at_once)]
+        order = EpochOrder(seed, epochs, used, np.concatenate([p.counts for p in parts]))
+        if bits is None and default_bits(order.rows) > used:
+            return measure_order(df, epochs, seed, row_id, default_bits(order.rows))
+        return order
     counted = with_keys(df.select(row_id), epochs, seed, used, row_id).groupBy("epoch", "bucket").agg(F.count("*").alias("n"))
     found = counted.toArrow()
     counts = np.zeros((len(epochs), 2**used), dtype=np.int64)
@@ -126,14 +137,14 @@ def _attach(df: DataFrame, lookup: DataFrame, entries: int) -> DataFrame:
 
 
 def epoch_permutation(
-    df: DataFrame, epochs: Sequence[int] = (1,), seed: int = 42, row_id: str = "row_id", order: EpochOrder | None = None
+    df: DataFrame, epochs: Sequence[int] = (1,), seed: int = 42, row_id: str = "row_id", order: EpochOrder | None = None, keep_key: bool = False
 ) -> DataFrame:
-    """Uniform random permutation of all rows for each epoch: ``df`` plus ``epoch`` and ``pos`` (0-based)."""
+    """Uniform random permutation of all rows for each epoch: ``df`` plus ``epoch`` and ``pos`` (0-based); with ``keep_key`` also ``order_key``."""
     order = order or measure_order(df, epochs, seed, row_id)
     starts = order.starts.ravel()
     lookup = _lookup(df.sparkSession, order.per_bucket() | {"first_pos": starts}, {"first_pos": pa.int64()})
     keyed = _attach(with_keys(df, order.epochs, order.seed, order.bits, row_id), lookup, len(starts))
-    return keyed.withColumn("pos", F.col("first_pos") + _rank(row_id)).drop("order_key", "bucket", "first_pos")
+    return keyed.withColumn("pos", F.col("first_pos") + _rank(row_id)).drop(*["order_key"] * (not keep_key), "bucket", "first_pos")
 
 
 def _rank(row_id: str) -> Column:
@@ -185,6 +196,9 @@ def assign_units(
     Adds ``epoch`` and the unit number, and with ``keep_key`` the ``order_key``; leaves out the rows after position ``end``.
     """
     units = -(-end // unit_rows)
+    if units * len(order.epochs) > MOST_CUTS:
+        ranked = epoch_permutation(df, row_id=row_id, order=order, keep_key=keep_key).where(F.col("pos") < end)
+        return ranked.withColumn(unit, F.call_function("div", F.col("pos"), F.lit(unit_rows).cast("bigint"))).drop("pos")
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
     firsts = np.where(order.starts < end, order.starts // unit_rows, units).ravel()
     wanted = ((order.counts.ravel() > 0) & (firsts < units)).nonzero()[0]

@@ -298,7 +298,7 @@ class _Run:
             found = S.narrow_moments(self.examples, n).toArrow()
             g, c = S.narrow_arrays({k: found.column(k).to_numpy() for k in found.column_names}, n)
         else:
-            sums = S.symmetric()(S.wide_moments(self.examples, n).toArrow(), n)
+            sums = S.symmetric()(S.wide_moments(self.examples, n, tasks=self.examples.rdd.getNumPartitions()).toArrow(), n)
             g, c = sums[None, :n, :n], sums[None, :n, n]
         self._timed(self.epochs, "gradient", started)
         for epoch in range(1, self.epochs + 1):
@@ -340,12 +340,21 @@ class _Run:
         return {e: (g[k * n : (k + 1) * n], c[k * n : (k + 1) * n]) for k, e in enumerate(epochs)}
 
     def _fold_wide(self, w: np.ndarray) -> np.ndarray:
-        """Batches too large for one task: partial sums per task, one map per batch."""
+        """Batches too large for one task: sums per task or per piece of a batch, whichever hands on less; one map per batch."""
+        tasks = self.examples.rdd.getNumPartitions()
         for epochs in _chunks(range(1, self.epochs + 1), epochs_per_pass(self._bits())):
-            sums = S.wide_moments(self._batched(epochs), self.n_features, ["epoch", "batch"])
+            batched, keys = self._batched(epochs), ["epoch", "batch"]
+            if self.sums_by_task(tasks):
+                sums = S.wide_moments(batched, self.n_features, keys, tasks)
+            else:
+                sums = S.moments_by_rows(batched, self.n_features, keys, self.batch_size)
             w = self._apply(w, M.moment_pieces(sums, self.n_features), self.num_batches, epochs)
         return w
 
+    def sums_by_task(self, tasks: int) -> bool:
+        """Whether a triangle per batch from each task is at most as much as the rows of the batch."""
+        return tasks * (self.n_features + 1) <= 2 * self.batch_size
+
     # -- blocks
 
     def blocks(self, w: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradlake.operators import linear
-from gradlake.operators.ordering import epochs_per_pass, measure_order
+from gradlake.operators.ordering import measure_order
 from gradlake.plans.fit import FitResult, fit, run_record
 from gradlake.sources.runs import MEASURES
 
@@ -50,7 +50,7 @@ def sweep(
     runs = []
     if param == "batch":
         order = None
-        if options.get("shuffle", True) and epochs <= epochs_per_pass() and any(v != 0 for v in values):
+        if options.get("shuffle", True) and any(v != 0 for v in values):
             order = measure_order(data, range(1, epochs + 1), seed)
         results = []
         for value in values:

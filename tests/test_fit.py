@@ -137,6 +137,43 @@ def test_partial_sums_are_handed_on_when_full(examples, monkeypatch):
     np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 1, 50), rtol=1e-9)
 
 
+@pytest.mark.parametrize("pieces", [1, 3, 40])
+def test_moments_of_pieces_equal_those_of_tasks(examples, monkeypatch, pieces):
+    x, y = data(900, 5)
+    rows = examples(x, y).selectExpr("*", "1 AS epoch", "row_id % 3 AS batch")
+    monkeypatch.setattr(moments, "FAN_IN", 4)
+    monkeypatch.setattr(moments, "ROWS_PER_PART", 300 / pieces / 6)
+    want = {(r["batch"], r["i"]): r["part"] for r in moments.wide_moments(rows, 5, ["epoch", "batch"]).collect()}
+    for found in (moments.moments_by_rows(rows, 5, ["epoch", "batch"], 300), moments.wide_moments(rows.repartition(20), 5, ["epoch", "batch"], 20)):
+        found = {(r["batch"], r["i"]): r["part"] for r in found.collect()}
+        assert found.keys() == want.keys() and len(found) == 18
+        for key, part in found.items():
+            np.testing.assert_allclose(part, want[key], rtol=1e-9)
+
+
+def test_pieces_hand_on_little_more_than_the_rows(examples):
+    """Rows once, and triangles of an eighth of them; a triangle from every task would be many times the rows."""
+    n, c = 4000, 30
+    x, y = data(n, c)
+    seen = []
+    rows = examples(x, y).selectExpr("*", "1 AS epoch", "row_id % 4 AS batch")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(moments, "tree_sum", lambda parts, keys, count: seen.append((parts, count)) or parts)
+        moments.moments_by_rows(rows, c, ["epoch", "batch"], n // 4)
+    ((parts, count),) = seen
+    numbers = parts.selectExpr("sum(size(part))").first()[0]
+    assert count == n // 4 // (4 * (c + 1)) and numbers <= 0.2 * n * (c + 1)
+    assert not P._Run(None, c, 0.1, 1, n // 4, 0.25, 42, True, None).sums_by_task(1000)
+
+
+@pytest.mark.parametrize("by_task", [True, False])
+def test_wide_fold_both_ways(examples, monkeypatch, by_task):
+    x, y = data(400, 20)
+    monkeypatch.setattr(P._Run, "sums_by_task", lambda self, tasks: by_task)
+    found = P.fit(examples(x, y), 0.1, 2, 150, w0=[0.0] * 20, strategy="fold")
+    np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 2, 150), rtol=1e-9)
+
+
 def test_decay_and_start(examples):
     x, y = data(200, 2)
     found = P.fit(examples(x, y), 0.2, 3, 50, w0=[1.0, -1.0], decay_power=0.5)

@@ -36,8 +36,10 @@ def test_permutation_is_the_sorted_order(ids):
     assert expected_order(range(0, 6000, 2), 1) != expected_order(range(0, 6000, 2), 2)
 
 
-@pytest.mark.parametrize("size", [1, 7, 100, 999, 1000, 1500, 2999, 3000])
-def test_batches_match_the_order(ids, size):
+@pytest.mark.parametrize("cuts", [0, 2**16])
+@pytest.mark.parametrize("size", [1, 3, 100, 999, 1000, 2999, 3000])
+def test_batches_match_the_order(ids, monkeypatch, size, cuts):
+    monkeypatch.setattr(O, "MOST_CUTS", cuts)
     found = placed(O.assign_batches(ids, size, (3,)), "batch", "row_id")
     order = expected_order(range(0, 6000, 2), 3)
     n = 3000 // size
@@ -45,6 +47,31 @@ def test_batches_match_the_order(ids, size):
     assert len(found) == n * size
 
 
+def test_many_batches_are_ranked_where_they_lie(ids):
+    """No cut keys, no interval join and one move of the rows."""
+    order = O.measure_order(ids, (1, 2))
+    found = O.assign_units(ids, order, 3, 3000)
+    assert O.MOST_CUTS < 2**17 and O.default_bits(2**30, 2**29) == O.FEW_BITS
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(O, "MOST_CUTS", 0)
+        patch.setattr(O, "_cut_keys", None)
+        ranked = O.assign_units(ids, order, 3, 3000)
+        text = ranked._jdf.queryExecution().explainString(ranked.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert text.count("Exchange hashpartitioning") == 1 and "low_key" not in text
+    assert set(placed(ranked, "epoch", "batch", "row_id")) == set(placed(found, "epoch", "batch", "row_id"))
+
+
+def test_many_epochs_are_measured_in_passes(ids, monkeypatch):
+    """Only full buckets are split further, and epochs beyond one pass are no error."""
+    want = O.measure_order(ids, range(1, 21), bits=9)
+    monkeypatch.setattr(O, "FEW_BITS", 3)
+    monkeypatch.setattr(O, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(O, "MAX_BUCKETS", 2**11)
+    found = O.measure_order(ids, range(1, 21))
+    assert found.bits == 8 and found.epochs == tuple(range(1, 21)) and O.epochs_per_pass(8) < 20
+    assert np.array_equal(found.counts, want.counts.reshape(20, -1, 2).sum(2))
+
+
 def test_units_may_end_inside_a_unit(ids):
     order = O.measure_order(ids, (1,))
     found = placed(O.assign_units(ids, order, 700, 2500, unit="block"), "block", "row_id")
