@@ -57,9 +57,9 @@ def dot(features: Column, w: Vector) -> Column:
 
 
 def axpy(a: float | Column, x: Column, y: Column) -> Column:
-    """``a * x + y``, entry by entry."""
+    """``a * x + y``, entry by entry. A null vector or vectors of different widths are an error; a null entry gives null."""
     a = a if isinstance(a, Column) else F.lit(float(a))
-    return F.zip_with(x, y, lambda p, q: a * p + q)
+    return of_width(F.zip_with(x, y, lambda p, q: a * p + q), x, F.size(y))
 
 
 def scale(vector: Column, factor: Column | float) -> Column:
@@ -84,6 +84,11 @@ def gemv(features: Column, w: Vector, y: Column, alpha: float = 1.0, beta: float
     return F.lit(float(alpha)) * dot(features, w) + F.lit(float(beta)) * y
 
 
+def complete(vector: Column, what: str = "features") -> Column:
+    """``vector``, and an error where it or one of its entries is null."""
+    return F.when(vector.isNull() | F.exists(vector, lambda x: x.isNull()), F.raise_error(F.lit(f"{what} must not be null"))).otherwise(vector)
+
+
 def total(vector: Column) -> Column:
     """Sum of the entries."""
     return F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x)

@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradlake.functions import vectors as V
+from gradlake.functions.arrow import matrix_of
+
+PARTIAL_BYTES = 64 * 2**20  # sums a Python task holds before it hands them on
 
 
 def prediction(w: V.Vector, features: str = "features") -> Column:
@@ -43,15 +47,53 @@ def total_loss(examples: DataFrame, w: V.Vector) -> DataFrame:
 
 
 def batch_gradients(batched: DataFrame, w: Sequence[float], batch_size: int, keys: Sequence[str] = ("batch",)) -> DataFrame:
-    """Average gradient of every batch at the same weights: ``keys`` plus ``gradient array<double>``."""
+    """Average gradient of every batch at the same weights: ``keys`` (whole numbers) plus ``gradient array<double>``.
+
+    A null label, a null entry and a vector of another width are errors, whatever the width.
+    """
     n = len(w)
-    with_residual = batched.select(*keys, "features", residual(w).alias("resid"))
     if n <= V.UNROLL:
+        with_residual = batched.select(*keys, "features", V.required(residual(w), "label and features").alias("resid"))
         x = V.entries(F.col("features"), n)
         sums = [F.sum(F.col("resid") * x[i]) / F.lit(float(batch_size)) for i in range(n)]
         return with_residual.groupBy(*keys).agg(F.array(*sums).alias("gradient"))
-    sums = with_residual.groupBy(*keys).agg(V.vector_sum(V.scale(F.col("features"), F.col("resid"))).alias("total"))
-    return sums.select(*keys, V.divide(F.col("total"), float(batch_size)).alias("gradient"))
+    sums = partial_gradients(batched, w, keys).groupBy(*keys).agg(V.vector_sum(F.col("part")).alias("total"))
+    return sums.select(*(F.col(k).cast(batched.schema[k].dataType).alias(k) for k in keys), V.divide(F.col("total"), float(batch_size)).alias("gradient"))
+
+
+def partial_gradients(batched: DataFrame, w: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Sums of row gradients by ``keys``, one ``part`` for each key and task; a task hands its sums on whenever they take ``PARTIAL_BYTES``."""
+    keys, weights, n, limit = list(keys), np.asarray(w, dtype=np.float64), len(w), PARTIAL_BYTES
+
+    def run(tables):
+        import pyarrow as pa
+
+        held: dict[tuple, np.ndarray] = {}
+
+        def flush():
+            columns = [pa.array([key[i] for key in held], pa.int64()) for i in range(len(keys))]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.list_(pa.float64()))], [*keys, "part"])
+            held.clear()
+            return out
+
+        for table in tables:
+            if not table.num_rows:
+                continue
+            x, y = matrix_of([table], n)
+            ids = np.stack([table.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1).astype(np.int64)
+            groups, place = np.unique(ids, axis=0, return_inverse=True)
+            order = np.argsort(place.ravel(), kind="stable")
+            starts = np.searchsorted(place.ravel()[order], np.arange(len(groups)))
+            sums = np.add.reduceat(((x @ weights - y)[:, None] * x)[order], starts, axis=0)
+            for key, part in zip(map(tuple, groups.tolist()), sums):
+                held[key] = held[key] + part if key in held else part
+            if len(held) * n * 8 > limit:
+                yield flush()
+        if held:
+            yield flush()
+
+    columns = [*[F.col(k).cast("bigint").alias(k) for k in keys], F.col("features"), F.col("label").cast("double").alias("label")]
+    return batched.select(*columns).mapInArrow(run, ", ".join([*[f"{k} bigint" for k in keys], "part array<double>"]))
 
 
 def predict_with_table(examples: DataFrame, weights_row: DataFrame, row_id: str = "row_id") -> DataFrame:

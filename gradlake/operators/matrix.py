@@ -67,16 +67,18 @@ def column_sums(
 ) -> DataFrame:
     """``(feature_idx, total)``: the sum of every column, divided by a constant in the same aggregate.
 
-    Both forms reduce inside each task first, so the shuffle carries one partial sum per column and task.
+    A null vector, a null entry and a vector of another width are errors, whatever the width. Both forms reduce inside each task first, so
+    the shuffle carries one partial sum per column and task.
     """
     if divide_by == 0:
         raise ValueError("cannot divide column sums by zero")
     divisor = F.lit(float(divide_by))
     if n_features is not None and n_features <= V.UNROLL:
         vector = F.col(features)
-        sums = [F.sum(V.of_width(x, vector, n_features)) / divisor for x in V.entries(vector, n_features)]
+        sums = [F.sum(V.of_width(V.required(x, features), vector, n_features)) / divisor for x in V.entries(vector, n_features)]
         return df.agg(F.array(*sums).alias("sums")).select(F.posexplode("sums").alias("feature_idx", "total"))
-    whole = df.agg(V.vector_sum(F.col(features)).alias("sums"))
+    vector = V.complete(F.col(features), features)
+    whole = df.agg(V.vector_sum(vector if n_features is None else V.of_width(vector, vector, n_features)).alias("sums"))
     return whole.select(F.posexplode("sums").alias("feature_idx", "total")).withColumn("total", F.col("total") / divisor)
 
 

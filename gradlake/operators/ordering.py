@@ -31,6 +31,7 @@ BUCKET_ROWS = 2**20  # rows that a bucket should hold at most
 MAX_BUCKETS = 2**20  # buckets of all epochs measured together
 MAX_BROADCAST_ENTRIES = 2**20  # buckets plus cuts, about 100 MB
 MOST_CUTS = 2**16  # units of all epochs up to which rows are held against cut keys; beyond, rows are ranked
+STRETCH_ROWS = 2**20  # positions of a stored order that lie in one folder
 LOWEST, HIGHEST = (-1, 0), (2**KEY_BITS, 0)  # around every key and id
 
 
@@ -189,14 +190,14 @@ def _cut_keys(df: DataFrame, order: EpochOrder, cuts: dict[tuple[int, int], list
 
 
 def assign_units(
-    df: DataFrame, order: EpochOrder, unit_rows: int, end: int, row_id: str = "row_id", unit: str = "batch", keep_key: bool = False
+    df: DataFrame, order: EpochOrder, unit_rows: int, end: int, row_id: str = "row_id", unit: str = "batch", keep_key: bool = False, ranked: bool | None = None
 ) -> DataFrame:
     """Cut the first ``end`` rows of the random order into consecutive units of ``unit_rows`` rows.
 
     Adds ``epoch`` and the unit number, and with ``keep_key`` the ``order_key``; leaves out the rows after position ``end``.
     """
     units = -(-end // unit_rows)
-    if units * len(order.epochs) > MOST_CUTS:
+    if units * len(order.epochs) > MOST_CUTS if ranked is None else ranked:
         ranked = epoch_permutation(df, row_id=row_id, order=order, keep_key=keep_key).where(F.col("pos") < end)
         return ranked.withColumn(unit, F.call_function("div", F.col("pos"), F.lit(unit_rows).cast("bigint"))).drop("pos")
     keys = _cut_keys(df, order, _cuts(order, unit_rows, end), row_id)
@@ -266,14 +267,19 @@ def assign_batches(
     seed: int = 42,
     row_id: str = "row_id",
     order: EpochOrder | None = None,
+    ranked: bool | None = None,
 ) -> DataFrame:
-    """Random batches of exactly ``batch_size`` rows per epoch; 0 means one batch of all rows."""
+    """Random batches of exactly ``batch_size`` rows per epoch; 0 means one batch of all rows.
+
+    ``ranked`` says whether rows move to their buckets and take their batch from their position, or stay and are held against cut keys; by
+    default that depends on the number of batches.
+    """
     if batch_size == 0:
         wanted = F.array(*[F.lit(int(e)) for e in epochs])
         return df.withColumn("epoch", F.explode(wanted)).withColumn("batch", F.lit(0).cast("bigint"))
     order = order or measure_order(df, epochs, seed, row_id)
     batches = number_of_batches(order.rows, batch_size)
-    return assign_units(df, order, batch_size, batches * batch_size, row_id)
+    return assign_units(df, order, batch_size, batches * batch_size, row_id, ranked=ranked)
 
 
 def permute(examples: DataFrame, order: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -288,6 +294,42 @@ def batch_rows(examples: DataFrame, order: DataFrame, batch_size: int, batch: in
     return permute(examples, chosen.withColumn("slot", F.col("pos") - first), row_id)
 
 
+@dataclass(frozen=True)
+class StoredOrder:
+    """An order ``(epoch, pos, row_id)`` on disk, one folder for each epoch and stretch of ``stretch_rows`` positions."""
+
+    spark: SparkSession
+    path: str
+    stretch_rows: int
+
+    def between(self, first: int, last: int, epoch: int = 1) -> DataFrame:
+        """``pos`` and ``row_id`` of the positions from ``first`` to ``last``; reads the stretches that hold them and no other."""
+        n = self.stretch_rows
+        table = self.spark.read.schema("pos bigint, row_id bigint, epoch int, stretch bigint").parquet(self.path)
+        held = table.where((F.col("epoch") == epoch) & F.col("stretch").between(first // n, last // n))
+        return held.where(F.col("pos").between(first, last)).select("pos", "row_id")
+
+
+def store_order(order: DataFrame, path: str, stretch_rows: int = STRETCH_ROWS, row_id: str = "row_id") -> StoredOrder:
+    """Write ``order(epoch, pos, row id)`` so that a batch is found without ranking or scanning the whole table again.
+
+    A stretch is sorted by position in one task; ``stretch_rows`` bounds it.
+    """
+    if stretch_rows < 1:
+        raise ValueError("a stretch holds at least one row")
+    stretch = F.call_function("div", F.col("pos"), F.lit(stretch_rows).cast("bigint")).alias("stretch")
+    rows = order.select("pos", F.col(row_id).cast("bigint").alias("row_id"), F.col("epoch").cast("int").alias("epoch"), stretch)
+    rows.repartition("epoch", "stretch").sortWithinPartitions("epoch", "stretch", "pos").write.partitionBy("epoch", "stretch").parquet(path)
+    return StoredOrder(order.sparkSession, path, stretch_rows)
+
+
+def stored_batch(examples: DataFrame, stored: StoredOrder, batch_size: int, batch: int, epoch: int = 1, row_id: str = "row_id") -> DataFrame:
+    """The examples of one batch of a stored order, with their ``pos`` and their ``slot`` in the batch."""
+    first = batch * batch_size
+    chosen = stored.between(first, first + batch_size - 1, epoch).withColumnRenamed("row_id", row_id)
+    return permute(examples, chosen.withColumn("slot", F.col("pos") - first), row_id)
+
+
 def prefix(df: DataFrame, rows: int, row_id: str = "row_id") -> DataFrame:
     """The first ``rows`` rows of a table with dense ids."""
     return df.where(F.col(row_id) < rows)

@@ -10,7 +10,7 @@ Strategies, all giving the same weights up to rounding:
 ``blocks``  Rows move once per epoch to blocks of consecutive batches, each block becomes one affine map, and the maps are
             composed in a tree. For many batches or many features.
 ``steps``   Rows move once per epoch to blocks of consecutive batches, and the weights go from block to block, one small job each. For
-            wide models, whose maps cost more than the rows. A table of one block goes through all epochs in one task.
+            wide models, whose maps cost more than the rows. A table that a task can hold goes through all epochs in one task.
 ``loop``    One job per batch on a table that is sorted by batch inside its partitions. For batches larger than the blocks of ``steps``.
 """
 
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradlake.functions import vectors as V
+from gradlake.functions.arrow import refuse_nulls
 from gradlake.functions.seeded import uniform_value
 from gradlake.operators import linear
 from gradlake.operators.ordering import (
@@ -43,10 +44,13 @@ from gradlake.operators.ordering import (
 from gradlake.plans import maps as M
 from gradlake.plans import moments as S
 from gradlake.plans import steps as T
+from gradlake.session import discard
+from gradlake.sources.runs import write_run
 
 STRATEGIES = ("auto", "fold", "blocks", "steps", "loop")
 DRIVER_BYTES = 64 * 2**20  # batch statistics or maps that may reach the driver at a time
 BLOCK_BYTES = 64 * 2**20  # rows of one block, in one Python task
+WHOLE_BYTES = 128 * 2**20  # a table that one Python task may hold
 LARGEST_BLOCK_BYTES = 512 * 2**20
 MANY_BLOCKS = 2**17
 WIDEST_MAP = 2048  # beyond this many features a map of one block outgrows a task
@@ -82,6 +86,12 @@ def learning_rate(lr: float, epoch: int, decay_power: float) -> float:
     return lr / epoch**decay_power
 
 
+def refuse_repeated_ids(examples: DataFrame) -> None:
+    """Raise if any row id occurs twice. Ids alone are shuffled, counted per task first."""
+    if examples.groupBy("row_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        raise ValueError(T.REPEATED)
+
+
 def weights_table(spark: SparkSession, weights: Sequence[float]) -> DataFrame:
     """``(feature_idx, w)``."""
     return spark.createDataFrame([(j, float(v)) for j, v in enumerate(weights)], "feature_idx int, w double")
@@ -92,7 +102,7 @@ def choose_strategy(n_rows: int, n_features: int, batch_size: int, epochs: int,
         return "loop" if n_features > WIDEST_MAP else "fold"
     batches = number_of_batches(n_rows, batch_size)
     row_bytes = (n_features + 1) * 8
-    if n_rows * row_bytes <= BLOCK_BYTES and batches * epochs <= STEPS_OF_A_TASK:
+    if fits_one_task(n_rows, n_features) and batches * epochs <= STEPS_OF_A_TASK:
         return "steps"
     if n_features > WIDEST_MAP:
         return "steps" if batch_size * row_bytes <= BLOCK_BYTES or batch_size < GRAM_ROWS // 2 else "loop"
@@ -105,6 +115,10 @@ def choose_strategy(n_rows: int, n_features: int, batch_size: int, epochs: int,
     return "fold"
 
 
+def fits_one_task(n_rows: int, n_features: int) -> bool:
+    return n_rows * (n_features + 1) * 8 <= WHOLE_BYTES
+
+
 def fit(
     examples: DataFrame,
     lr: float,
@@ -139,6 +153,9 @@ def fit(
     chosen = choose_strategy(run.n_rows, n_features, batch_size, epochs, cores) if strategy == "auto" else strategy
     started = time.perf_counter()
     held = run.hold_small(chosen)
+    if order is None and (chosen in ("fold", "loop") or batch_size == 0):
+        # the other strategies see equal ids side by side
+        refuse_repeated_ids(run.examples)
     try:
         if chosen == "loop":
             w = run.loop(w)
@@ -178,6 +195,19 @@ def run_record(result: FitResult, error: float, read_millis: float = 0.0) -> dic
     }
 
 
+def train_and_record(
+    examples: DataFrame, lr: float, epochs: int, batch_size: int, *, folder: str, name: str, parameter: int, codepath: str | None = None, read_millis: float = 0.0, **options
+) -> tuple[FitResult, float, str]:
+    """Fit, score, and write the run record ``<name>-<parameter>-<path>.json`` to ``folder``: the fit, its error and the record's path.
+
+    The path is that of the strategy unless given. The record is written last and replaces one of the same name, so a run that failed and is
+    started again leaves exactly one.
+    """
+    result, error = fit_and_score(examples, lr, epochs, batch_size, **options)
+    path = write_run(examples.sparkSession, run_record(result, error, read_millis), folder, name, parameter, codepath or result.strategy, replace=True)
+    return result, error, path
+
+
 def phase_metrics(spark: SparkSession, runs: dict[str, FitResult]) -> DataFrame:
     """``(run_id, epoch, phase, millis)`` of several runs."""
     rows = [(run_id, e, phase, ms) for run_id, r in runs.items() for e, phase, ms in r.phases]
@@ -287,7 +317,7 @@ class _Run:
         with np.errstate(all="ignore"):
             for g_batch, c_batch in zip(g, c):
                 w = w - step * (g_batch @ w - c_batch)
-        return _finite(w, epoch)
+        return finite(w, epoch)
 
     # -- one batch of all rows: the moments never change, so one pass serves all epochs
 
@@ -393,13 +423,13 @@ class _Run:
         table = M.compose_until(pieces, n, b, self.num_batches, rates, count, DRIVER_BYTES).toArrow()
         self._timed(epochs[0], "gradient", started)
         for epoch, moved in M.apply_pieces(w, table, n, b, rates):
-            w = _finite(moved, epoch)
+            w = finite(moved, epoch)
         return w
 
     # -- steps
 
     def _one_block(self) -> bool:
-        return self.n_rows * (self.n_features + 1) * 8 <= BLOCK_BYTES
+        return fits_one_task(self.n_rows, self.n_features)
 
     def steps(self, w: np.ndarray) -> np.ndarray:
         """Blocks of consecutive batches, laid down for some epochs at a time; the weights go from one to the next."""
@@ -421,29 +451,27 @@ class _Run:
             first = epochs[0]
             held = T.stored_blocks(placed, self.n_features, lambda epoch, block: (epoch - first) * per_epoch + block, per_epoch * len(epochs))
             try:
-                held.count()
                 self._timed(first, "shuffle", started)
-                context, chunks, pending = self.examples.sparkSession.sparkContext, held.rdd, np.zeros(self.n_features)
+                pending = np.zeros(self.n_features)
                 for epoch in epochs:
                     started = time.perf_counter()
                     for block in range(per_epoch):
-                        job = T.step_through(w, pending, self.batch_size, end, self.rate(epoch))
-                        ((w, pending),) = context.runJob(chunks, job, [(epoch - first) * per_epoch + block])
-                    w = _finite(w, epoch)
+                        w, pending = T.step_through(held, (epoch - first) * per_epoch + block, w, pending, self.batch_size, end, self.rate(epoch))
+                    w = finite(w, epoch)
                     self._timed(epoch, "gradient", started)
             finally:
-                held.unpersist()
+                held.discard()
         return w
 
     def _in_one_task(self, w: np.ndarray) -> np.ndarray:
         rates = [self.rate(e) for e in range(1, self.epochs + 1)]
-        found = T.all_epochs(self.examples, w, self.batch_size, rates, self.seed, self.shuffle)
+        (found,) = T.all_epochs(self.examples, [T.Setting(self.batch_size, w)], rates, self.seed, self.shuffle)
         if found.rows != self.n_rows:
             raise ValueError("the data changed while it was read")
         self.phases.append((1, "transfer", found.read))
         for epoch, (shuffled, stepped) in enumerate(zip(found.shuffle, found.gradient), 1):
             self.phases += [(epoch, "shuffle", shuffled), (epoch, "gradient", stepped)]
-        return _finite(found.weights, found.epoch)
+        return finite(found.weights, found.epoch)
 
     def _sliced_steps(self, w: np.ndarray) -> np.ndarray:
         """Blocks of whole batches, cut by columns; a block takes two jobs however many batches it holds."""
@@ -461,17 +489,16 @@ class _Run:
             started = time.perf_counter()
             stored = T.sliced_blocks(placed, n, width, lambda epoch, block: (epoch - first) * blocks + block, blocks * len(epochs))
             try:
-                stored.grams.count()
                 self._timed(first, "shuffle", started)
                 for epoch in epochs:
                     started = time.perf_counter()
                     for block in range(blocks):
                         w = T.step_over(stored, (epoch - first) * blocks + block, w, b, self.rate(epoch))
-                    w = _finite(w, epoch)
+                    w = finite(w, epoch)
                     self._timed(epoch, "gradient", started)
             finally:
-                stored.grams.unpersist()
-                stored.chunks.unpersist()
+                discard(stored.grams)
+                stored.chunks.discard()
         return w
 
     # -- loop
@@ -494,7 +521,7 @@ class _Run:
                     rows = self.examples if held is None else held.where(F.col("batch") == batch)
                     tasks = tasks or rows.rdd.getNumPartitions()
                     gradient = self._gradient_sum(rows, w, tasks) / (self.batch_size or self.n_rows)
-                    w = _finite(w - self.rate(epoch) * gradient, epoch)
+                    w = finite(w - self.rate(epoch) * gradient, epoch)
             finally:
                 if held is not None:
                     held.unpersist()
@@ -520,7 +547,7 @@ def _partial_gradient(w: np.ndarray, n: int):
         for table in tables:
             if table.num_rows:
                 entries = table.column("features").flatten()
-                S.refuse_nulls(entries, table.column("label"))
+                refuse_nulls(entries, table.column("label"))
                 flat = entries.to_numpy(zero_copy_only=False)
                 if flat.size != table.num_rows * n:
                     raise ValueError(f"every row must hold {n} features")
@@ -531,7 +558,7 @@ def _partial_gradient(w: np.ndarray, n: int):
     return sums
 
 
-def _finite(w: np.ndarray, epoch: int) -> np.ndarray:
+def finite(w: np.ndarray, epoch: int) -> np.ndarray:
     if not np.isfinite(w).all():
         raise FloatingPointError(f"the weights left the range of numbers in epoch {epoch}; use a smaller learning rate")
     return w

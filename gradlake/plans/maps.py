@@ -18,7 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradlake.plans.moments import refuse_nulls, symmetric
+from gradlake.functions.arrow import refuse_nulls
+from gradlake.plans.moments import symmetric
 
 GROUP_BYTES = 64 * 2**20
 PIECE_SCHEMA = "epoch int, batch bigint, whole boolean, data array<double>"

@@ -14,19 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradlake.functions import vectors as V
+from gradlake.functions.arrow import refuse_nulls
 
 PARTIAL_BYTES = 128 * 2**20  # sums a Python task holds before it hands them on
 
 
-NULLS = "label and features must not be null"
-
-
-def refuse_nulls(*columns) -> None:
-    """Fail on a null in Arrow columns, which NumPy would turn into NaN."""
-    if any(c.null_count for c in columns):
-        raise ValueError(NULLS)
-
-
 def _checked(examples: DataFrame, n_features: int) -> DataFrame:
     """Fail on a row of another length instead of mixing up columns."""
     message = F.lit(f"every row must hold {n_features} features")

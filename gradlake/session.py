@@ -44,12 +44,12 @@ def fresh_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_folder(spark)}/{stem}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, stem: str = "table") -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and continue from there.
+def materialise(df: DataFrame, stem: str = "table", path: str | None = None) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder, or at ``path``, and continue from there.
 
     The lineage ends at files that outlive any executor, and later passes still read only the columns they need.
     """
-    path = fresh_path(df.sparkSession, f"gradlake-{stem}")
+    path = path or fresh_path(df.sparkSession, f"gradlake-{stem}")
     df.write.parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found.written_to = path
@@ -57,7 +57,7 @@ def materialise(df: DataFrame, stem: str = "table") -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of :func:`materialise` that nothing reads any more; results derived from them must have been written."""
+    """Delete tables of :func:`materialise`, and copies made by readers, that nothing reads any more; results derived from them must have been written."""
     for df in tables:
         jvm = df.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(df.written_to)

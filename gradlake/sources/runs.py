@@ -16,11 +16,14 @@ def record_json(measures: tuple[str, ...] = MEASURES) -> Column:
     return F.to_json(F.struct(*[F.col(m) for m in measures]))
 
 
-def write_run(spark: SparkSession, record: dict[str, float], folder: str, name: str, parameter: int, codepath: str) -> str:
-    """Write one run record; returns its path."""
+def write_run(spark: SparkSession, record: dict[str, float], folder: str, name: str, parameter: int, codepath: str, replace: bool = False) -> str:
+    """Write one run record; returns its path.
+
+    The path is the run's own, so with ``replace`` a run that is written again leaves one record, the last; otherwise that is an error.
+    """
     path = f"{folder.rstrip('/')}/{name}-{parameter}-{codepath}.json"
     row = [tuple(float(record[m]) for m in MEASURES)]
-    spark.createDataFrame(row, RECORD_SCHEMA).coalesce(1).write.json(path)
+    spark.createDataFrame(row, RECORD_SCHEMA).coalesce(1).write.mode("overwrite" if replace else "error").json(path)
     return path
 
 

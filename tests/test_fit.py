@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from gradlake.functions import seeded
 from gradlake.plans import fit as P
 from gradlake.plans import maps, moments, steps
+from gradlake.plans import sweep as S
 from gradlake.plans.sweep import sweep
+from gradlake.sources.runs import read_runs
 from tests.test_ordering import expected_order
 
 RNG = np.random.default_rng(7)
@@ -62,29 +64,29 @@ def test_blocks_of_a_few_batches_and_tree(examples, monkeypatch):
             np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 2, b, shuffle), rtol=1e-9)
 
 
-@pytest.mark.parametrize("b", [20, 33, 55, 150])
-def test_steps_over_several_blocks(examples, monkeypatch, b):
-    """Blocks of 60 rows: batches go on in the next block, the last block is short, epochs are laid down one or several at a time."""
-    x, y = data(1000, 5)
-    monkeypatch.setattr(P, "BLOCK_BYTES", 60 * 6 * 8)
+@pytest.mark.parametrize(("b", "shuffle", "stored"), [(33, True, 1), (55, True, 2**30), (150, True, 2**30), (33, False, 2**30)])
+def test_steps_over_several_blocks(examples, monkeypatch, b, shuffle, stored):
+    """Blocks of 90 rows: batches go on in the next block, the last block is short, epochs are laid down one or several at a time."""
+    x, y = data(400, 5)
+    monkeypatch.setattr(P, "BLOCK_BYTES", 90 * 6 * 8)
+    monkeypatch.setattr(P, "WHOLE_BYTES", 0)
     monkeypatch.setattr(steps, "CHUNK_BYTES", 7 * 5 * 8)
-    for shuffle, stored in ((True, 1), (True, 2**30), (False, 2**30)):
-        monkeypatch.setattr(P, "STORED_BYTES", stored)
-        found = P.fit(examples(x, y), 0.1, 2, b, w0=[0.0] * 5, strategy="steps", shuffle=shuffle)
-        np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 2, b, shuffle), rtol=1e-9)
+    monkeypatch.setattr(P, "STORED_BYTES", stored)
+    found = P.fit(examples(x, y), 0.1, 2, b, w0=[0.0] * 5, strategy="steps", shuffle=shuffle)
+    np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.1, 2, b, shuffle), rtol=1e-9)
 
 
-@pytest.mark.parametrize(("b", "gram"), [(5, 12), (5, 30), (7, 16)])
-def test_steps_over_slices_of_columns(examples, monkeypatch, b, gram):
+@pytest.mark.parametrize(("b", "gram", "shuffle"), [(5, 12, True), (5, 30, False), (7, 16, True)])
+def test_steps_over_slices_of_columns(examples, monkeypatch, b, gram, shuffle):
     """A batch is larger than a block, so blocks of several batches are cut by columns and stepped over by their Gram matrix."""
-    x, y = data(203, 40)
+    x, y = data(53, 40)
     monkeypatch.setattr(P, "BLOCK_BYTES", b * 15 * 8)
+    monkeypatch.setattr(P, "WHOLE_BYTES", 0)
     monkeypatch.setattr(P, "GRAM_ROWS", gram)
     monkeypatch.setattr(steps, "CHUNK_BYTES", 3 * 15 * 8)
-    for shuffle, stored in ((True, 1), (True, 2**30), (False, 2**30)):
-        monkeypatch.setattr(P, "STORED_BYTES", stored)
-        found = P.fit(examples(x, y), 0.02, 2, b, w0=[0.0] * 40, strategy="steps", shuffle=shuffle)
-        np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.02, 2, b, shuffle), rtol=1e-9)
+    monkeypatch.setattr(P, "STORED_BYTES", 1 if gram == 12 else 2**30)
+    found = P.fit(examples(x, y), 0.02, 2, b, w0=[0.0] * 40, strategy="steps", shuffle=shuffle)
+    np.testing.assert_allclose(found.weights, reference_loop(x, y, 0.02, 2, b, shuffle), rtol=1e-9)
 
 
 def test_epoch_keys_equal_the_columns(spark):
@@ -279,7 +281,7 @@ def test_sample_and_feature_sweeps(examples):
 
 
 @pytest.mark.parametrize(
-    ("data_set", "param", "size"), [(None, "samples", None), (None, "features", None), (None, "batch", 10), (None, "other", 1)]
+    ("data_set", "param", "size"), [(None, "samples", 5), (None, "samples", None), (None, "features", None), (None, "batch", 10), (None, "other", 1)]
 )
 def test_sweep_arguments(data_set, param, size):
     with pytest.raises(ValueError):
@@ -301,3 +303,57 @@ def test_composed_maps_equal_steps(c, n, seed):
         one[:c, c] = 0.01 * x.T @ y
         run, slow = one @ run, slow - 0.01 * x.T @ (x @ slow - y)
     np.testing.assert_allclose(run[:c, :c] @ w + run[:c, c], slow, rtol=1e-9, atol=1e-12)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "fold", "blocks", "steps", "loop"])
+@pytest.mark.parametrize("b", [0, 500])
+def test_a_few_repeated_ids_fail_in_every_strategy(spark, strategy, b):
+    """Three repeats among 20,000 rows, far fewer than a bucket would show."""
+    rows = spark.range(20_000).selectExpr("IF(id IN (77, 12345, 19999), id - 7, id) AS row_id", "array(1D, id / 20000D) AS features", "2D AS label")
+    with pytest.raises(Exception, match="row ids repeat"):
+        P.fit(rows, 0.1, 1, b, strategy=strategy, n_features=2)
+
+
+def test_sweeps_share_one_scan(examples, monkeypatch):
+    """All settings in one job, with the results of single fits."""
+    x, y = data(300, 5)
+    rows = examples(x, y)
+    jobs = []
+    monkeypatch.setattr(S, "all_epochs", lambda *a, **k: jobs.append(1) or steps.all_epochs(*a, **k))
+    monkeypatch.setattr(S, "fit", None)
+    by_rows = sweep(rows, "samples", [100, 211, 300], lr=0.1, epochs=2, batch_size=50, w0=[0.0] * 5).collect()
+    by_width = sweep(rows, "features", [1, 3, 5], lr=0.1, epochs=2, batch_size=50, w0=[0.0] * 5).collect()
+    by_size = sweep(rows, "batch", [50, 75], lr=0.1, epochs=2, w0=[0.0] * 5).collect()
+    assert len(jobs) == 3
+    for n, r in zip((100, 211, 300), by_rows):
+        w = reference_loop(x[:n], y[:n], 0.1, 2, 50)
+        assert (r["param_value"], r["error"]) == (n, pytest.approx(np.abs(x[:n] @ w - y[:n]).mean(), rel=1e-9))
+    for n, r in zip((1, 3, 5), by_width):
+        w = reference_loop(x[:, :n], y, 0.1, 2, 50)
+        assert (r["param_value"], r["error"]) == (n, pytest.approx(np.abs(x[:, :n] @ w - y).mean(), rel=1e-9))
+    for b, r in zip((50, 75), by_size):
+        w = reference_loop(x, y, 0.1, 2, b)
+        assert r["error"] == pytest.approx(np.abs(x @ w - y).mean(), rel=1e-9) and r["transfer_time"] > 0
+
+
+def test_sweeps_of_large_tables_go_one_by_one(examples, monkeypatch):
+    x, y = data(300, 5)
+    rows = examples(x, y)
+    options = {"lr": 0.1, "epochs": 2, "w0": [0.0] * 5}
+    calls = [("samples", [100, 300], 50), ("features", [2, 5], 50), ("batch", [50, 0], None)]
+    monkeypatch.setattr(S, "fits_one_task", lambda *a: False)
+    slow = [sweep(rows, p, v, batch_size=b, **options).collect() for p, v, b in calls]
+    monkeypatch.undo()
+    for (p, v, b), want in zip(calls, slow):
+        found = sweep(rows, p, v, batch_size=b, **options).collect()
+        assert [r["error"] for r in found] == pytest.approx([r["error"] for r in want], rel=1e-9)
+
+
+def test_train_and_record(spark, examples, tmp_path):
+    x, y = data(200, 2)
+    for _ in range(2):
+        result, error, path = P.train_and_record(examples(x, y), 0.1, 2, 50, folder=str(tmp_path), name="run", parameter=200, read_millis=5.0)
+    assert path.endswith("run-200-steps.json")
+    (record,) = read_runs(spark, str(tmp_path)).collect()
+    assert record["error"] == error and record["param_value"] == 200 and record["transfer_time"] > 5.0
+    assert record["gpu_time"] == pytest.approx(result.millis("total"))

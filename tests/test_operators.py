@@ -197,6 +197,41 @@ def test_data_sets_and_sweep_on_files(spark, tmp_path):
     swept = sweep(member, "features", [2, 3], lr=0.5, epochs=3, batch_size=20)
     write_sweep(swept, f"{tmp_path}/runs", "features")
     found = read_runs(spark, f"{tmp_path}/runs").orderBy("param_value").collect()
-    assert [(r["run_id"], r["param_value"]) for r in found] == [("features-2-fold", 2), ("features-3-fold", 3)]
+    assert [(r["run_id"], r["param_value"]) for r in found] == [("features-2-steps", 2), ("features-3-steps", 3)]
     assert [r["error"] for r in found] == [r["error"] for r in swept.orderBy("param_value").collect()]
     assert max(r["error"] for r in found) < 1.0
+
+
+@pytest.mark.parametrize("c", [3, 16, 17, 40])
+@pytest.mark.parametrize("bad", ["label", "entry", "vector", "short", "long"])
+def test_nulls_and_widths_fail_alike_on_both_sides_of_sixteen(spark, c, bad):
+    """Sums over columns and gradients refuse the same rows, whichever way they are computed."""
+    row = {"label": ([1.0] * c, None), "entry": ([1.0] * (c - 1) + [None], 1.0), "vector": (None, 1.0), "short": ([1.0] * (c - 1), 1.0), "long": ([1.0] * (c + 1), 1.0)}[bad]
+    rows = [(i, 0, [1.0] * c, 1.0) for i in range(5)] + [(5, 0, *row)]
+    df = spark.createDataFrame(rows, "row_id bigint, batch bigint, features array<double>, label double")
+    with pytest.raises(Exception, match="must not be null|another width|must hold"):
+        linear.batch_gradients(df, [0.5] * c, 6).collect()
+    if bad != "label":
+        with pytest.raises(Exception, match="must not be null|another width"):
+            matrix.column_sums(df, c).collect()
+    if bad in ("entry", "vector"):
+        with pytest.raises(Exception, match="must not be null"):
+            matrix.column_sums(df).collect()
+
+
+def test_partial_gradients_are_handed_on_when_full(examples, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y, w = rng.normal(size=(300, 20)), rng.normal(size=300), rng.normal(size=20)
+    monkeypatch.setattr(linear, "PARTIAL_BYTES", 3 * 20 * 8)
+    batched = examples(x, y).selectExpr("*", "int(row_id % 30) AS batch", "1 AS epoch")
+    found = linear.batch_gradients(batched, w, 10, ("epoch", "batch"))
+    assert found.schema["batch"].dataType.simpleString() == "int"
+    for r in found.collect():
+        mine = np.arange(300) % 30 == r["batch"]
+        np.testing.assert_allclose(r["gradient"], (x[mine] @ w - y[mine]) @ x[mine] / 10, rtol=1e-9)
+
+
+def test_vectors_of_two_widths_are_not_added(spark):
+    df = spark.createDataFrame([([1.0, 2.0], [1.0])], "x array<double>, y array<double>")
+    with pytest.raises(Exception, match="another width"):
+        df.select(V.axpy(1.0, F.col("x"), F.col("y"))).collect()

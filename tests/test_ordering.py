@@ -171,3 +171,16 @@ def test_equal_keys_fall_back_to_the_id(ids, monkeypatch):
     assert sorted(r["count"] for r in found.groupBy("batch").count().collect()) == [70] * 42
     ordered = O.epoch_permutation(ids).select("row_id", F.expr("pos div 70").alias("batch")).where("batch < 42")
     assert ordered.exceptAll(found.select("row_id", "batch")).count() == 0
+
+
+def test_a_stored_order_reads_only_the_stretches_of_a_batch(spark, ids, tmp_path):
+    order = O.epoch_permutation(ids, (1, 2))
+    stored = O.store_order(order, str(tmp_path / "order"), 700)
+    want = expected_order(range(0, 6000, 2), 2)
+    for batch in (0, 6, 7, 29):  # the seventh goes over the edge of a stretch
+        found = O.stored_batch(ids, stored, 100, batch, 2)
+        assert sorted(placed(found, "slot", "row_id")) == list(enumerate(want[batch * 100 : batch * 100 + 100]))
+    plan = stored.between(650, 749, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch" in plan and "stretch" in plan.split("PartitionFilters")[1].split("]")[0]
+    scanned = stored.between(650, 749, 2).select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r["f"].split("stretch=")[1].split("/")[0] for r in scanned} == {"0", "1"}

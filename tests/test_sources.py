@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradlake.operators import linear
+from gradlake.session import discard
 from gradlake.sources import examples as E
 from gradlake.sources import runs as R
 from gradlake.sources import weights as W
@@ -131,3 +132,47 @@ def test_files_of_many_records_are_read_whole(spark, tmp_path):
     (tmp_path / "broken-30-fold.json").write_text(text + " rest")
     with pytest.raises(Exception):
         R.read_runs(spark, str(tmp_path)).collect()
+
+
+def test_odd_rows_are_not_written(spark, tmp_path):
+    for i, bad in enumerate(([1.0, None], [1.0], [1.0, 2.0, 3.0], None)):
+        df = spark.createDataFrame([([1.0, 2.0], 1.0), (bad, 1.0)], "features array<double>, label double")
+        with pytest.raises(Exception, match="must not be null|another width"):
+            E.write_examples_csv(df, str(tmp_path / f"bad{i}"), 2)
+    with pytest.raises(Exception, match="label must not be null"):
+        E.write_examples_csv(spark.createDataFrame([([1.0], None)], "features array<double>, label double"), str(tmp_path / "null"), 1)
+
+
+def test_prefix_sums_over_groups_and_ranges(spark):
+    rows = [(f"f{g:03d}", s, (7 * g + s) % 5) for g in range(60) for s in range(g % 4 + 1)]
+    found = {(r["g"], r["s"]): r["before"] for r in E.prefix_sums(spark.createDataFrame(rows, "g string, s bigint, n bigint").repartition(9), "g", ["s"], "n", "before").collect()}
+    total = 0
+    for g, s, n in sorted(rows):
+        assert found[g, s] == total
+        total += n
+    assert len(found) == len(rows)
+
+
+def test_the_stored_copy_can_be_placed_and_released(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "1,2\n3,4\n")
+    read = E.read_examples_csv(spark, path, 1, 2, store=str(tmp_path / "copy"))
+    assert read.count() == 2 and (tmp_path / "copy").exists()
+    discard(read)
+    assert not (tmp_path / "copy").exists()
+
+
+def test_figures_come_with_the_pass_that_reads(spark, examples):
+    rows, figures = E.observed(examples(np.ones((30, 4)), np.ones(30)))
+    assert linear.mean_abs_error(rows, [1.0] * 4).first()[0] == 3.0
+    assert figures.get == {"n_rows": 30, "min_features": 4, "max_features": 4, "size_mb": 30 * 4 * 4 / 2**20}
+    none, figures = E.observed(rows.limit(0))
+    none.write.format("noop").mode("overwrite").save()
+    assert figures.get == {"n_rows": 0, "min_features": None, "max_features": None, "size_mb": 0.0}
+
+
+def test_a_record_written_again_is_one_record(spark, tmp_path):
+    for error in (1.0, 2.0):
+        R.write_run(spark, RECORD | {"error": error}, str(tmp_path), "again", 7, "steps", replace=True)
+    assert [r["error"] for r in R.read_runs(spark, str(tmp_path)).collect()] == [2.0]
+    with pytest.raises(Exception, match="(?i)exist"):
+        R.write_run(spark, RECORD, str(tmp_path), "again", 7, "steps")

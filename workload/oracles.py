@@ -76,24 +76,30 @@ def narrow_weights(lr: float, epochs: int, size: int | str) -> str:
 
 
 def wide_weights(lr: float, epochs: int, size: int) -> str:
-    """The rows of a batch as lists, and one scalar step per batch."""
+    parts = wide_fit(lr, epochs, size)
+    last = "SELECT unnest(range(64))::INTEGER AS feature_idx, unnest(w) AS w FROM (SELECT w FROM descent ORDER BY k DESC LIMIT 1)"
+    return with_(parts, f"SELECT feature_idx, {six('w', 'w')} FROM ({last})", True)
+
+
+def wide_fit(lr: float, epochs: int, size: int, n: int = 64) -> list[str]:
+    """The rows of a batch as lists, and one scalar step per batch; the first ``n`` features."""
     numbers = list(range(1, epochs + 1))
+    table = WIDE.replace("embedding::DOUBLE[] AS x", f"(embedding::DOUBLE[])[1:{n}] AS x")
     if size:
-        rows = [WIDE, positions("wide", numbers), batches(size)]
+        rows = [table, positions("wide", numbers), batches(size)]
     else:
-        rows = [WIDE, f"batched AS (SELECT *, 0 AS batch FROM wide, (SELECT unnest({numbers})::BIGINT AS epoch))"]
+        rows = [table, f"batched AS (SELECT *, 0 AS batch FROM wide, (SELECT unnest({numbers})::BIGINT AS epoch))"]
     steps = f"""steps AS (
     SELECT row_number() OVER (ORDER BY epoch, batch) AS k, {lr}::DOUBLE / pow(epoch, 0.25) / n AS a, xs, ys
     FROM (SELECT epoch, batch, count(*) AS n, list(x ORDER BY row_id) AS xs, list(label ORDER BY row_id) AS ys
           FROM batched GROUP BY epoch, batch))"""
     resid = "[list_inner_product(s.xs[i], d.w) - s.ys[i] for i in range(1, len(s.ys) + 1)]"
     descent = f"""descent(k, w) AS (
-    SELECT 0::BIGINT, [0::DOUBLE for j in range(64)]
+    SELECT 0::BIGINT, [0::DOUBLE for j in range({n})]
     UNION ALL
-    SELECT k, [w[j] - a * list_inner_product([x[j] for x in xs], r) for j in range(1, 65)]
+    SELECT k, [w[j] - a * list_inner_product([x[j] for x in xs], r) for j in range(1, {n + 1})]
     FROM (SELECT s.k, d.w, s.a, s.xs, {resid} AS r FROM descent d JOIN steps s ON s.k = d.k + 1))"""
-    last = "SELECT unnest(range(64))::INTEGER AS feature_idx, unnest(w) AS w FROM (SELECT w FROM descent ORDER BY k DESC LIMIT 1)"
-    return with_([*rows, steps, descent], f"SELECT feature_idx, {six('w', 'w')} FROM ({last})", True)
+    return [*rows, steps, descent]
 
 
 def scored(lr: float, epochs: int, size: int) -> str:
@@ -110,6 +116,23 @@ def swept(lr: float, epochs: int, sizes: list[int]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def swept_samples(lr: float, epochs: int, size: int, sizes: list[str]) -> str:
+    parts = []
+    for n in sizes:
+        one = scored(lr, epochs, size).replace("FROM orders)", f"FROM orders WHERE o_orderkey < ({n}))", 1)
+        parts.append(f"SELECT 'samples' AS param_name, ({n})::BIGINT AS param_value, mean_abs_error AS error FROM ({one})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def swept_features(lr: float, epochs: int, size: int, widths: list[int]) -> str:
+    parts = []
+    for n in widths:
+        last = "(SELECT w FROM descent ORDER BY k DESC LIMIT 1)"
+        one = with_(wide_fit(lr, epochs, size, n), f"SELECT {six('avg(abs(list_inner_product(x, w) - label))', 'error')} FROM wide, {last}", True)
+        parts.append(f"SELECT 'features' AS param_name, {n}::BIGINT AS param_value, error FROM ({one})")
+    return "\nUNION ALL\n".join(parts)
+
+
 def uniform(text: str, start: int) -> str:
     return f"((('0x' || substr(md5({text}), {start}, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
 
@@ -149,6 +172,8 @@ FROM orders""",
     "shape_check": """SELECT count(*) AS n_rows, min(len(embedding))::BIGINT AS min_features,
     max(len(embedding))::BIGINT AS max_features FROM embeddings""",
     "data_size_mb": f"SELECT {six('sum(len(embedding))::DOUBLE * 4 / 1048576', 'size_mb')} FROM embeddings",
+    "observed_figures": with_([WIDE], f"""SELECT count(*) AS n_rows, min(len(x))::BIGINT AS min_features, max(len(x))::BIGINT AS max_features,
+    {six('sum(len(x))::DOUBLE * 4 / 1048576', 'size_mb')}, {six(f'avg(abs({WIDE_PREDICTION} - label))', 'mean_abs_error')} FROM wide"""),
     "run_record_json": ORDER_RECORDS,
     "run_records_table": ORDER_RECORDS,
     "run_records_folder": f"""SELECT event_type AS codepath, count(*) AS param_value, {six('avg(value)', 'error')},
@@ -197,6 +222,10 @@ FROM orders""",
         [WIDE, positions("wide", [1])],
         f"SELECT pos - 150 AS slot, row_id, label, {six('list_sum(x)', 'row_total')} FROM placed WHERE pos BETWEEN 150 AND 199",
     ),
+    "batch_lookup_stored": with_(
+        [WIDE, positions("wide", [1])],
+        f"SELECT pos - 50 AS slot, row_id, label, {six('list_sum(x)', 'row_total')} FROM placed WHERE pos BETWEEN 50 AND 99",
+    ),
     "predict_scalar_subquery": with_(
         [WIDE, SUMS, "w AS (SELECT list(w ORDER BY i) AS w FROM sums)"],
         f"SELECT row_id, {six('list_inner_product(x, w)', 'prediction')} FROM wide, w",
@@ -243,6 +272,7 @@ GROUP BY batch, feature_idx""",
     "phase_totals": f"SELECT user_id, event_type, {six('sum(value)', 'total_millis')} FROM events GROUP BY ALL",
     "epoch_permutation": with_([NARROW, positions("narrow", [1, 2])], "SELECT epoch, pos, row_id FROM placed"),
     "batch_assignment": with_([NARROW, positions("narrow", [1, 2]), batches(700)], "SELECT epoch, batch, row_id FROM batched"),
+    "batch_assignment_ranked": with_([NARROW, positions("narrow", [1, 2]), batches(3)], "SELECT epoch, batch, row_id FROM batched"),
     "batch_sizes": with_(
         [NARROW, positions("narrow", [1, 2, 3]), batches(128)],
         "SELECT epoch, batch, count(*) AS n_rows FROM batched GROUP BY epoch, batch",
@@ -263,9 +293,12 @@ FROM (SELECT c_custkey, regexp_extract(c_name, '([0-9]+)[^0-9]*$', 1)::BIGINT AS
     "sgd_fit": narrow_weights(0.2, 4, 400),
     "sgd_fit_wide": wide_weights(0.5, 3, 40),
     "sgd_fit_wide_fold": wide_weights(0.5, 2, 125),
+    "sgd_fit_wide_steps": wide_weights(0.5, 4, 60),
     "gd_fit": narrow_weights(0.5, 10, 0),
     "gd_fit_wide": wide_weights(0.5, 5, 0),
     "fit_and_score": scored(0.2, 2, 100),
+    "fit_record": f"""SELECT 'orders-100-spark' AS run_id, 'spark' AS codepath, 100::BIGINT AS param_value, mean_abs_error AS error, true AS gpu_time_known,
+    true AS shuffle_time_known, true AS total_gradient_time_known, true AS transfer_time_known FROM ({scored(0.2, 2, 100)})""",
     "generate_regression": with_(
         [
             f"made AS (SELECT o_orderkey AS row_id, {', '.join(f'{feature("o_orderkey", str(j))} AS x{j}' for j in range(3))} FROM orders)",
@@ -286,6 +319,8 @@ FROM made JOIN sizes ON j < n_features GROUP BY n_features""",
     "half_precision": f"""SELECT o_orderkey, {half('(o_totalprice / 10)')} AS large, {half('(-o_totalprice / 500000)')} AS unit,
     {half('(o_totalprice / 1e11)')} AS tiny FROM orders""",
     "sweep_batch_size": swept(0.2, 2, [250, 500, 1000]),
+    "sweep_samples": swept_samples(0.2, 2, 100, ["SELECT count(*) // 4 FROM orders", "SELECT count(*) // 2 FROM orders", "SELECT count(*) FROM orders"]),
+    "sweep_features": swept_features(0.5, 2, 60, [8, 16, 64]),
     "parse_param": """SELECT p_partkey, p_size::BIGINT AS parameter, 'blas' AS path FROM part""",
     "name_number": r"SELECT c_custkey, regexp_extract(c_name, '([0-9]+)[^0-9]*$', 1)::BIGINT AS number FROM customer",
     "file_stem": f"SELECT page_id, {STEM} AS stem FROM pages",

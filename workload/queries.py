@@ -9,7 +9,7 @@ from gradlake.functions import vectors as V
 from gradlake.functions.half import to_half
 from gradlake.functions.names import file_stem, numeric_suffix, run_codepath, run_parameter
 from gradlake.operators import generate, linear, matrix, ordering, runs
-from gradlake.plans.fit import fit, fit_and_score
+from gradlake.plans.fit import fit, fit_and_score, train_and_record
 from gradlake.plans.sweep import sweep
 from gradlake.session import fresh_path
 from gradlake.sources import examples as sources
@@ -88,6 +88,14 @@ def data_size_mb(spark, sf_dir):
     return sources.data_size_mb(wide(spark, sf_dir)).select(six(F.col("size_mb"), "size_mb"))
 
 
+def observed_figures(spark, sf_dir):
+    """Shape and size, as the pass that scores the rows finds them on its way."""
+    rows, figures = sources.observed(wide(spark, sf_dir))
+    error = linear.mean_abs_error(rows, W_WIDE).first()[0]
+    found = figures.get | {"size_mb": round(figures.get["size_mb"], 6), "mean_abs_error": round(error, 6)}
+    return spark.createDataFrame([found], "n_rows bigint, min_features bigint, max_features bigint, size_mb double, mean_abs_error double")
+
+
 def _order_records(spark, sf_dir):
     price = F.col("o_totalprice")
     return table(spark, sf_dir, "orders").select(
@@ -236,6 +244,14 @@ def batch_lookup(spark, sf_dir):
     return chosen.select("slot", "row_id", "label", six(V.total(F.col("features")), "row_total"))
 
 
+def batch_lookup_stored(spark, sf_dir):
+    """The batch of positions 50 to 99 from an order that is stored in stretches of 70."""
+    rows = wide(spark, sf_dir)
+    order = ordering.epoch_permutation(rows.select("row_id"), (1,), SEED)
+    stored = ordering.store_order(order, fresh_path(spark, "gradlake-order"), 70)
+    return ordering.stored_batch(rows, stored, 50, 1).select("slot", "row_id", "label", six(V.total(F.col("features")), "row_total"))
+
+
 def predict_scalar_subquery(spark, sf_dir):
     rows = wide(spark, sf_dir)
     totals = matrix.column_sums(rows).withColumnRenamed("total", "w")
@@ -366,6 +382,12 @@ def batch_assignment(spark, sf_dir):
     return ordering.assign_batches(rows, 700, (1, 2), SEED).select(F.col("epoch").cast("bigint").alias("epoch"), "batch", "row_id")
 
 
+def batch_assignment_ranked(spark, sf_dir):
+    """Batches of three rows, each row's from its own position."""
+    rows = narrow(spark, sf_dir).select("row_id")
+    return ordering.assign_batches(rows, 3, (1, 2), SEED, ranked=True).select(F.col("epoch").cast("bigint").alias("epoch"), "batch", "row_id")
+
+
 def batch_sizes(spark, sf_dir):
     rows = narrow(spark, sf_dir).select("row_id")
     batched = ordering.assign_batches(rows, 128, (1, 2, 3), SEED)
@@ -400,7 +422,7 @@ def _one_row(spark, values: dict) -> DataFrame:
 
 
 def sgd_epoch(spark, sf_dir):
-    return _one_row(spark, _weights(fit(narrow(spark, sf_dir), 0.5, 1, 100, w0=[0.0] * 3, seed=SEED)))
+    return _one_row(spark, _weights(fit(narrow(spark, sf_dir), 0.5, 1, 100, w0=[0.0] * 3, seed=SEED, strategy="fold")))
 
 
 def sgd_epoch_loop(spark, sf_dir):
@@ -414,11 +436,11 @@ def sgd_epoch_blocks(spark, sf_dir):
 
 
 def sgd_fit(spark, sf_dir):
-    return _one_row(spark, _weights(fit(narrow(spark, sf_dir), 0.2, 4, 400, w0=[0.0] * 3, seed=SEED)))
+    return _one_row(spark, _weights(fit(narrow(spark, sf_dir), 0.2, 4, 400, w0=[0.0] * 3, seed=SEED, strategy="fold")))
 
 
 def sgd_fit_wide(spark, sf_dir):
-    result = fit(wide(spark, sf_dir), 0.5, 3, 40, w0=[0.0] * 64, seed=SEED)
+    result = fit(wide(spark, sf_dir), 0.5, 3, 40, w0=[0.0] * 64, seed=SEED, strategy="blocks")
     rows = [(j, round(v, 6) + 0.0) for j, v in enumerate(result.weights)]
     return spark.createDataFrame(rows, "feature_idx int, w double")
 
@@ -430,6 +452,13 @@ def sgd_fit_wide_fold(spark, sf_dir):
     return spark.createDataFrame(rows, "feature_idx int, w double")
 
 
+def sgd_fit_wide_steps(spark, sf_dir):
+    """The same model stepped through where its rows lie."""
+    result = fit(wide(spark, sf_dir), 0.5, 4, 60, w0=[0.0] * 64, seed=SEED, strategy="steps")
+    rows = [(j, round(v, 6) + 0.0) for j, v in enumerate(result.weights)]
+    return spark.createDataFrame(rows, "feature_idx int, w double")
+
+
 def gd_fit(spark, sf_dir):
     return _one_row(spark, _weights(fit(narrow(spark, sf_dir), 0.5, 10, 0, w0=[0.0] * 3, seed=SEED)))
 
@@ -445,6 +474,16 @@ def fit_and_score_query(spark, sf_dir):
     return _one_row(spark, _weights(result, mean_abs_error=round(error, 6) + 0.0))
 
 
+def fit_record(spark, sf_dir):
+    """Fit, score, record, and read the folder of records; the run is started twice, as after a failure."""
+    rows, folder = narrow(spark, sf_dir), fresh_path(spark, "gradlake-records")
+    for _ in range(2):
+        train_and_record(rows, 0.2, 2, 100, w0=[0.0] * 3, seed=SEED, folder=folder, name="orders", parameter=100, codepath="spark")
+    read = records.read_runs(spark, folder)
+    positive = [(F.col(m) >= 0).alias(f"{m}_known") for m in ("gpu_time", "shuffle_time", "total_gradient_time", "transfer_time")]
+    return read.select("run_id", "codepath", "param_value", six(F.col("error"), "error"), *positive)
+
+
 # -- generation
 
 
@@ -480,6 +519,20 @@ def sweep_batch_size(spark, sf_dir):
     return found.select("param_name", "param_value", six(F.col("error"), "error"))
 
 
+def sweep_samples(spark, sf_dir):
+    """A quarter, a half and all of the rows, from one scan."""
+    rows = narrow(spark, sf_dir)
+    n = rows.count()
+    found = sweep(rows, "samples", [n // 4, n // 2, n], lr=0.2, epochs=2, batch_size=100, seed=SEED, w0=[0.0] * 3)
+    return found.select("param_name", "param_value", six(F.col("error"), "error"))
+
+
+def sweep_features(spark, sf_dir):
+    """The first 8, 16 and 64 features, from one scan."""
+    found = sweep(wide(spark, sf_dir), "features", [8, 16, 64], lr=0.5, epochs=2, batch_size=60, seed=SEED, w0=[0.0] * 64)
+    return found.select("param_name", "param_value", six(F.col("error"), "error"))
+
+
 def parse_param(spark, sf_dir):
     brand = F.translate(F.col("p_brand"), "#", "-")
     name = F.concat(F.lit("results/"), brand, F.lit("-"), F.col("p_size").cast("string"), F.lit("-blas.json"))
@@ -529,6 +582,7 @@ QUERIES = {
     "csv_row_ids": csv_row_ids,
     "shape_check": shape_check,
     "data_size_mb": data_size_mb,
+    "observed_figures": observed_figures,
     "run_record_json": run_record_json,
     "run_records_table": run_records_table,
     "run_records_folder": run_records_folder,
@@ -552,6 +606,7 @@ QUERIES = {
     "permute_rows": permute_rows,
     "scale_rows_join": scale_rows_join,
     "batch_lookup": batch_lookup,
+    "batch_lookup_stored": batch_lookup_stored,
     "predict_scalar_subquery": predict_scalar_subquery,
     "predict_long_join": predict_long_join,
     "compare_runs": compare_runs,
@@ -572,6 +627,7 @@ QUERIES = {
     "phase_totals": phase_totals,
     "epoch_permutation": epoch_permutation,
     "batch_assignment": batch_assignment,
+    "batch_assignment_ranked": batch_assignment_ranked,
     "batch_sizes": batch_sizes,
     "natural_sort": natural_sort,
     "nested_subsets": nested_subsets,
@@ -581,13 +637,17 @@ QUERIES = {
     "sgd_fit": sgd_fit,
     "sgd_fit_wide": sgd_fit_wide,
     "sgd_fit_wide_fold": sgd_fit_wide_fold,
+    "sgd_fit_wide_steps": sgd_fit_wide_steps,
     "gd_fit": gd_fit,
     "gd_fit_wide": gd_fit_wide,
     "fit_and_score": fit_and_score_query,
+    "fit_record": fit_record,
     "generate_regression": generate_regression,
     "generate_feature_sweep": generate_feature_sweep,
     "half_precision": half_precision,
     "sweep_batch_size": sweep_batch_size,
+    "sweep_samples": sweep_samples,
+    "sweep_features": sweep_features,
     "parse_param": parse_param,
     "name_number": name_number,
     "file_stem": file_stem_query,
