@@ -1,4 +1,4 @@
-"""Batch steps on stored blocks of rows, for models that are wide against the number of cores.
+"""Batch steps on stored blocks of rows, for small tables and for models too wide for maps.
 
 A step needs two products with the rows of its batch, ``r = X w - y`` and ``X' r``, far less work than the maps of :mod:`gradlake.plans.maps`, but
 one batch has to follow the other. So rows are laid down once per epoch in blocks of consecutive batches, and the weights travel to the

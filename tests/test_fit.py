@@ -206,10 +206,6 @@ def test_choice_of_strategy(n, c, b, strategy):
     assert P.choose_strategy(n, c, b, 10) == strategy
 
 
-def test_few_cores_step_through_wide_rows():
-    assert P.choose_strategy(10**6, 1000, 1000, 10, 8) == "steps" and P.choose_strategy(10**6, 1000, 1000, 10, 400) == "blocks"
-
-
 def test_errors(examples):
     x, y = data(20, 2)
     rows = examples(x, y)
