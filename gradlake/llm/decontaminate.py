@@ -27,6 +27,8 @@ ERROR_RATE = 0.07
 BLOCK_CHARS = 4 << 20
 #: Characters of texts whose q-grams are looked up at once.
 SLICE_CHARS = 1 << 20
+#: Shared q-grams that are listed at once, and letters of candidates that are aligned at once; more are taken in turn.
+MOST_LISTED, MOST_ALIGNED = 1 << 22, 1 << 20
 TABLE_BITS = 22
 
 
@@ -65,6 +67,14 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
             power = power * power
 
 
+def added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of counts by key."""
+    keys, where = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, where, np.concatenate([n for _, n in counted]))
+    return keys, total
+
+
 class Items:
     """A block of benchmark items: their letters, edit budgets, bounds, and an index of their q-grams."""
 
@@ -94,25 +104,34 @@ class Items:
         found = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
         same = self.keys[found] == hashes[at]
         at, found = at[same], found[same]
-        times = self.count[found]
-        entry = np.repeat(self.first[found] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        item, diagonal = self.item[entry], np.repeat(at, times) - self.place[entry] + int(self.size.max())
-        width = self.edits[item] + 1
-        band = diagonal // width
-        # a diagonal lies in the band that starts at its own multiple of the width, and in the one before
-        key = np.concatenate([(item << 40) | (band + 1), (item << 40) | band])
-        keys, counts = np.unique(key, return_counts=True)
+        # a gram that an item repeats meets all its places, so occurrences are listed some at a time and kept as counts of bands
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+        for first, end in slices(self.count[found].tolist(), MOST_LISTED):
+            counted.append(self.bands(at[first:end], found[first:end]))
+            if len(counted) > 8:
+                counted = [added(counted)]
+        keys, counts = added(counted) if counted else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         item, band = keys >> 40, (keys & ((1 << 40) - 1)) - 1
         reached = counts >= self.bound[item]
         item, band = item[reached], band[reached]
         return item, band * (self.edits[item] + 1) - int(self.size.max())
 
+    def bands(self, at: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers made of item and band, and how many of the shared grams lie in each."""
+        times = self.count[found]
+        entry = np.repeat(self.first[found] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        item, diagonal = self.item[entry], np.repeat(at, times) - self.place[entry] + int(self.size.max())
+        band = diagonal // (self.edits[item] + 1)
+        # a diagonal lies in the band that starts at its own multiple of the width, and in the one before
+        return np.unique(np.concatenate([(item << 40) | (band + 1), (item << 40) | band]), return_counts=True)
+
     def verify(self, codes: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each candidate the fewest edits of an occurrence in its band (the budget and one more if none), and where it ends."""
         edits, ends = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
         order = np.argsort(self.size[item], kind="stable")
-        for start in range(0, len(order), 256):
-            part = order[start : start + 256]
+        wall = int(self.edits.max(initial=0)) + 2
+        for start, end in slices((self.size[item[order]] + 6 * self.edits[item[order]]).tolist(), MOST_ALIGNED):
+            part = order[start:end]
             sizes, k = self.size[item[part]], self.edits[item[part]]
             longest, reach = int(sizes.max()), int(k.max())
             width = 2 * (reach + 1) + 2 * reach
@@ -123,21 +142,25 @@ class Items:
             span = left[:, None] + np.arange(longest + width)
             inside = (span >= 0) & (span < len(codes))
             window = np.where(inside, codes[np.clip(span, 0, len(codes) - 1)], 0)
-            across = np.arange(width, dtype=np.int32)
+            # the zero between two texts, and what lies before the first and after the last, cost more than any budget
+            closed = window == 0
+            skipped = np.zeros((len(part), window.shape[1] + 1), np.int32)
+            np.cumsum(np.where(closed, wall, 1), axis=1, out=skipped[:, 1:])
             cost = np.zeros((len(part), width), np.int32)
-            best, end = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            best, stop = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
             for j in range(longest):
-                step = cost + (window[:, j : j + width] != pattern[:, j : j + 1])
+                step = cost + np.where(closed[:, j : j + width], wall, window[:, j : j + width] != pattern[:, j : j + 1])
                 # leave out a letter of the item: the same place in the text, one diagonal to the left
                 step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
                 # leave out letters of the text: diagonals to the right
+                across = skipped[:, j + 1 : j + 1 + width]
                 cost = np.minimum.accumulate(step - across, axis=1) + across
                 last = np.flatnonzero(sizes == j + 1)
                 if len(last):
                     where = cost[last].argmin(1)
                     best[last] = cost[last, where]
-                    end[last] = left[last] + j + where
-            edits[part], ends[part] = best, end
+                    stop[last] = left[last] + j + where
+            edits[part], ends[part] = best, stop
         return edits, ends
 
 
