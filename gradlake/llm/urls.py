@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradlake.llm.common import pick, table
-from gradlake.session import materialise
+from gradlake.session import discard, materialise
 
 #: verdict, host, path of the rules of the contract. Fixed values.
 RULES = (
@@ -25,10 +25,10 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS = 0.85, 10
+DAMPING = 0.85
 #: Ranks that differ by no more than this part are equal but for rounding.
 ROUNDING = 1e-9
-#: Rounds between two writes of the ranks to the shared folder.
+#: Rounds between two writes of the ranks to the shared folder, which are also held against each other.
 WRITE_EVERY = 5
 
 
@@ -55,28 +55,38 @@ def linked_hosts(html: Column) -> Column:
     return F.array_distinct(F.transform(links, lambda h: F.translate(h, UPPER, LOWER)))
 
 
-def rank_hosts(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, shares: bool = True) -> DataFrame:
+def rank_hosts(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, shares: bool = True) -> DataFrame:
     """Personalised PageRank: ``host`` and ``rank`` of the hosts that rank flows to.
 
     ``edges`` (``source``, ``target``) are distinct; ``seeds`` have ``host`` and ``weight``, of which each gets its share of the start, or all
     of it without ``shares``: the ranks then add up to the weights, and what stands elsewhere in the graph has no part in them. A host
-    without links keeps nothing for others. Ranks of a round are summed per target before they travel.
+    without links keeps nothing for others. Ranks of a round are summed per target before they travel. Rounds go on until no new host is
+    reached and no rank changes by more than rounding, or for the given number of ``rounds``.
     """
     total = seeds.agg((F.sum("weight") if shares else F.lit(1)).alias("total"))
     start = materialise(seeds.join(F.broadcast(total), how="cross").select("host", (F.col("weight") / F.col("total")).alias("start")), "seeds")
     degrees = edges.groupBy("source").agg(F.count("*").alias("degree"))
     links = materialise(edges.join(degrees, "source").select("source", "target", "degree"), "edges")
-    ranks = start.select("host", F.col("start").alias("rank"))
-    for i in range(rounds):
-        given = links.join(ranks, F.col("source") == F.col("host")).groupBy(F.col("target").alias("host")).agg(F.sum(F.lit(damping) * F.col("rank") / F.col("degree")).alias("rank"))
-        own = start.select("host", (F.lit(1 - damping) * F.col("start")).alias("rank"))
-        ranks = given.union(own).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if (i + 1) % WRITE_EVERY == 0 and i + 1 < rounds:
-            ranks = materialise(ranks, "ranks")
-    return materialise(ranks, "ranks")
-
-
-def judge_urls(df: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    ranks = before = materialise(start.select("host", F.col("start").alias("rank")), "ranks")
+    done = 0
+    while rounds is None or done < rounds:
+        for _ in range(WRITE_EVERY if rounds is None else min(WRITE_EVERY, rounds - done)):
+            given = links.join(ranks, F.col("source") == F.col("host")).groupBy(F.col("target").alias("host")).agg(F.sum(F.lit(damping) * F.col("rank") / F.col("degree")).alias("rank"))
+            own = start.select("host", (F.lit(1 - damping) * F.col("start")).alias("rank"))
+            ranks = given.union(own).groupBy("host").agg(F.sum("rank").alias("rank"))
+            done += 1
+        ranks = materialise(ranks, "ranks")
+        last = before.select(F.col("host").alias("same"), F.col("rank").alias("last"))
+        moved = ranks.join(last, F.col("host") == F.col("same"), "left").filter(F.col("last").isNull() | (F.abs(F.col("rank") - F.col("last")) > F.lit(ROUNDING) * F.col("rank")))
+        settled = rounds is None and not moved.limit(1).count()
+        discard(before)
+        before = ranks
+        if settled:
+            break
+    return ranks
+
+
+def judge_urls(df: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", rules=RULES, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """Every page's id, ``host``, ``path``, ``rule`` (null without one) and ``verdict``, with the ``trust`` and ``distrust`` of its host.
 
     A null or malformed URL has an empty host, fits no rule, and is allowed. A null html holds no links. Repeated rows give
