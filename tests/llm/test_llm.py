@@ -429,3 +429,57 @@ def test_pipeline_stages_with_odd_rows_and_clashing_columns(spark, odd):
         assert {tuple(r)[2:] for r in plain.collect()} <= {("x", 1, 2, 3, 4)}
         if name in ("quality classifier", "line dedup"):
             assert plain.count() == len(ODD)
+
+
+def test_no_item_is_found_across_two_texts(spark):
+    """The halves of an item at the end of one text and the beginning of the next are no occurrence, whatever lies between."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    item = " ".join(word() for _ in range(24))
+    half = len(item) // 2
+    rows = [(1, word() + " " + item[:half]), (2, item[half:] + " " + word()), (3, item), (4, ""), (5, item[:half]), (6, None), (7, item[half:]), (8, item.replace("a", "b", 2))]
+    benchmark = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1)
+        assert {r["doc_id"] for r in decontaminate.find_leaks(df, benchmark).collect() if r["items"]} == {3, 8}
+
+
+def test_runs_of_one_letter_stay_small(spark, monkeypatch):
+    """Every place of the text meets every place of the item; they are counted and aligned some at a time, with the same result."""
+    benchmark = spark.createDataFrame([(1, "0" * 120), (2, "ab" * 60)], "item_id bigint, text string")
+    df = spark.createDataFrame([(1, "0" * 3000), (2, "abc " * 200), (3, "0" * 100 + "x" + "0" * 60)], "doc_id bigint, text string")
+    want = [(r["doc_id"], tuple(r["items"]), r["n_edits"]) for r in decontaminate.find_leaks(df, benchmark).collect()]
+    monkeypatch.setattr(decontaminate, "MOST_LISTED", 500)
+    monkeypatch.setattr(decontaminate, "MOST_ALIGNED", 700)
+    assert [(r["doc_id"], tuple(r["items"]), r["n_edits"]) for r in decontaminate.find_leaks(df, benchmark).collect()] == want
+    assert want[0] == (1, (1,), 0) and want[2][1] == (1,)
+    own = decontaminate.Items([1], ["0" * 200], 10, 0.07)
+    monkeypatch.undo()
+    item, _ = own.candidates(np.full(100_000, ord("0"), np.uint32))
+    assert len(item)
+
+
+def test_distrust_goes_along_any_chain(spark):
+    """Forty hosts in a row, each linking to the next, the last one blocked: all are."""
+    rows = [(i, f"https://h{i}.org/", f'<a href="https://h{i + 1}.org/">x</a>') for i in range(39)] + [(39, "https://h39.org/", '<a href="https://bad.net/es/x">x</a>'), (40, "https://bad.net/es/x", "")]
+    found = urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {r["verdict"] for r in found.collect()} == {"block"}
+
+
+def test_search_over_large_components(spark):
+    rows = [(0, [3e6, 0.0]), (100, [1e306, 1.0]), (1, [2.0, 1.0]), (2, [-1e300, 0.0]), (3, [5e-320, 2e9]), (4, [0.0, 2.0**53])]
+    df = spark.createDataFrame([r for r in rows if r[0] != 100], "vec_id bigint, embedding array<double>")
+    ints = {i: [int(np.floor(x * 1024)) for x in v] for i, v in rows if i != 100}
+    scores = sorted(((-sum(a * b for a, b in zip(ints[0], v)), i) for i, v in ints.items() if i))
+    # the lowest score does not fit 64 bits, and only three are asked for
+    found = sorted(tuple(r) for r in topk.top_k(df, k=3).collect())
+    assert found == [(0, n + 1, i, -s) for n, (s, i) in enumerate(scores[:3])]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(df, k=4).collect()
+    one = spark.createDataFrame([(100, [1e306, 1.0]), (5, [0.0, 7.0])], "vec_id bigint, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(one).collect()] == [(100, 1, 5, 1024 * 7168)]
+
+
+def test_quotes_in_unquoted_values_end_nothing():
+    page = "<p data-x=it's>One one.</p><p>Don't lose this.</p><p title='a > b' x=\"c > d\">Three</p><p y = 'e > f'>Four</p>"
+    assert [leaf.text for leaf in pages.leaves(page)] == ["One one.", "Don't lose this.", "Three", "Four"]
