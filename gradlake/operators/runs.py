@@ -35,6 +35,29 @@ def compare_runs(a: DataFrame, b: DataFrame, measure: str, param: str = "param_v
     return joined.select(setting.alias(param), *names)
 
 
+def compare_measures(a: DataFrame, b: DataFrame, measures: Sequence[str], param: str = "param_value", common_only: bool = False) -> DataFrame:
+    """Several measures of two sets of runs side by side: ``param``, ``measure``, ``a``, ``b`` and ``speedup`` (b by a, null where a is zero).
+
+    Each set is read once, whatever the number of measures. More than one run of a setting, and unless ``common_only`` a setting that only one set
+    has, are errors.
+    """
+
+    def series(runs: DataFrame, name: str) -> DataFrame:
+        twice = F.when(F.count("*") > 1, F.raise_error(F.lit("more than one run for the same setting")).cast("double"))
+        rows = runs.groupBy(param).agg(*[twice.otherwise(F.max(F.col(m).cast("double"))).alias(m) for m in measures])
+        return rows.unpivot([param], list(measures), "measure", name)
+
+    left, right = series(a, "a").withColumn("_a", F.lit(True)), series(b, "b").withColumn("_b", F.lit(True))
+    right = right.select(F.col(param).alias("_param"), F.col("measure").alias("_measure"), "b", "_b")
+    same = F.col(param).eqNullSafe(F.col("_param")) & (F.col("measure") == F.col("_measure"))
+    joined = left.join(right, same, "inner" if common_only else "full_outer")
+    setting = F.col(param)
+    if not common_only:
+        alone = F.col("_a").isNull() | F.col("_b").isNull()
+        setting = F.when(alone, F.raise_error(F.lit("the runs hold different settings")).cast(a.schema[param].dataType)).otherwise(setting)
+    return joined.select(setting.alias(param), "measure", "a", "b", F.try_divide("b", "a").alias("speedup"))
+
+
 def unmatched_settings(a: DataFrame, b: DataFrame, param: str = "param_value") -> DataFrame:
     """Parameter settings that only one of two sets of runs holds, with the ``side`` that has them."""
     left = a.select(param).distinct().withColumn("_a", F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradlake.functions.names import file_stem, run_codepath, run_parameter
+from gradlake.operators.runs import compare_measures
 
 MEASURES = ("error", "gpu_time", "shuffle_time", "total_gradient_time", "transfer_time")
 RECORD_SCHEMA = ", ".join(f"{m} double" for m in MEASURES)
@@ -67,6 +68,11 @@ def read_runs(spark: SparkSession, folder: str) -> DataFrame:
     return named_records(spark.read.option("lineSep", RECORD_END).text(f"{folder.rstrip('/')}/*.json"))
 
 
+def compare_folders(spark: SparkSession, a: str, b: str, measures: tuple[str, ...] = MEASURES, common_only: bool = False) -> DataFrame:
+    """The measures of the records in two folders side by side, by the parameter in their names (see ``compare_measures``)."""
+    return compare_measures(read_runs(spark, a), read_runs(spark, b), measures, common_only=common_only)
+
+
 def json_number(text: Column, field: str) -> Column:
     """One integer field of a JSON text."""
     return F.from_json(text, f"{field} bigint")[field]

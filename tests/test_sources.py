@@ -176,3 +176,18 @@ def test_a_record_written_again_is_one_record(spark, tmp_path):
     assert [r["error"] for r in R.read_runs(spark, str(tmp_path)).collect()] == [2.0]
     with pytest.raises(Exception, match="(?i)exist"):
         R.write_run(spark, RECORD, str(tmp_path), "again", 7, "steps")
+
+
+def test_two_folders_side_by_side(spark, tmp_path):
+    for n in (10, 20):
+        R.write_run(spark, RECORD | {"gpu_time": float(n), "error": 0.0}, str(tmp_path / "a"), "x", n, "fold")
+        R.write_run(spark, RECORD | {"gpu_time": 3.0 * n}, str(tmp_path / "b"), "y", n, "steps")
+    found = {(r["param_value"], r["measure"]): (r["a"], r["b"], r["speedup"]) for r in R.compare_folders(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()}
+    assert len(found) == 10 and found[20, "gpu_time"] == (20.0, 60.0, 3.0) and found[10, "error"] == (0.0, 2.5, None)
+    R.write_run(spark, RECORD, str(tmp_path / "b"), "y", 30, "steps")
+    with pytest.raises(Exception, match="different settings"):
+        R.compare_folders(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()
+    assert R.compare_folders(spark, str(tmp_path / "a"), str(tmp_path / "b"), ("error",), common_only=True).count() == 2
+    R.write_run(spark, RECORD, str(tmp_path / "a"), "z", 10, "fold")
+    with pytest.raises(Exception, match="more than one run"):
+        R.compare_folders(spark, str(tmp_path / "a"), str(tmp_path / "b"), common_only=True).collect()

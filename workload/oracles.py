@@ -324,6 +324,13 @@ FROM made JOIN sizes ON j < n_features GROUP BY n_features""",
     "parse_param": """SELECT p_partkey, p_size::BIGINT AS parameter, 'blas' AS path FROM part""",
     "name_number": r"SELECT c_custkey, regexp_extract(c_name, '([0-9]+)[^0-9]*$', 1)::BIGINT AS number FROM customer",
     "file_stem": f"SELECT page_id, {STEM} AS stem FROM pages",
+    "compare_folders": f"""WITH means AS (
+    SELECT l_linenumber::BIGINT AS param_value, l_returnflag AS flag, avg(l_extendedprice) AS gpu_time, avg(l_discount) AS error, avg(l_tax) AS transfer_time,
+           0::DOUBLE AS shuffle_time, 1::DOUBLE AS total_gradient_time
+    FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY ALL),
+long AS (UNPIVOT means ON gpu_time, error, transfer_time, shuffle_time, total_gradient_time INTO NAME measure VALUE v)
+SELECT a.param_value, a.measure, {six('a.v', 'a')}, {six('b.v', 'b')}, CASE WHEN a.v <> 0 THEN round(b.v / a.v, 6) + 0::DOUBLE END AS speedup
+FROM (FROM long WHERE flag = 'A') a JOIN (FROM long WHERE flag = 'R') b USING (param_value, measure)""",
     "measure_series": with_(
         [RUNS],
         "\nUNION ALL\n".join(

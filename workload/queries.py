@@ -548,6 +548,19 @@ def file_stem_query(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", file_stem(F.col("url")).alias("stem"))
 
 
+def compare_folders(spark, sf_dir):
+    """Records of two code paths in two folders, one per line number, compared in one call."""
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag IN ('A', 'R')").groupBy("l_returnflag", "l_linenumber").agg(
+        F.avg("l_extendedprice").alias("gpu_time"), F.avg("l_discount").alias("error"), F.avg("l_tax").alias("transfer_time")
+    )
+    folders = {flag: fresh_path(spark, "gradlake-records") for flag in "AR"}
+    for r in lines.collect():  # one row per line number and flag, a handful
+        record = {m: r[m] for m in ("gpu_time", "error", "transfer_time")} | {"shuffle_time": 0.0, "total_gradient_time": 1.0}
+        records.write_run(spark, record, folders[r["l_returnflag"]], "lines", r["l_linenumber"], r["l_returnflag"].lower())
+    found = records.compare_folders(spark, folders["A"], folders["R"])
+    return found.select("param_value", "measure", *(six(F.col(c), c) for c in ("a", "b", "speedup")))
+
+
 def measure_series(spark, sf_dir):
     series = runs.measure_series(_runs(spark, sf_dir), ["gpu_time", "error", "transfer_time"], ["codepath", "param_value"])
     return series.select("codepath", "param_value", "measure", six(F.col("value"), "value"))
@@ -651,6 +664,7 @@ QUERIES = {
     "parse_param": parse_param,
     "name_number": name_number,
     "file_stem": file_stem_query,
+    "compare_folders": compare_folders,
     "measure_series": measure_series,
     "speedup": speedup,
     "scaling_factor": scaling_factor,
