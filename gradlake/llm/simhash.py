@@ -94,25 +94,19 @@ class Ring:
         return ok
 
 
-def near_components(nodes: DataFrame, most_bits: int, columns: list[str], verify=None) -> DataFrame:
-    """Components of ``node``, linked where any of the fingerprint ``columns`` differ in at most ``most_bits`` bits.
-
-    ``nodes`` may have ``groups``, an array of small integers: only nodes with a common group are held against each other.
-    """
+def near_components(nodes: DataFrame, most_bits: int, columns: list[str]) -> DataFrame:
+    """Components of ``node``, linked where any of the fingerprint ``columns`` differ in at most ``most_bits`` bits."""
     ring = Ring(most_bits)
-    group = F.lit(0)
-    if "groups" in nodes.columns:
-        nodes, group = nodes.select("node", *columns, F.explode("groups").alias("group")), F.col("group")
     rows, starts = [], 1
     for i, c in enumerate(columns):
         own = ring.keys(F.col(c))
         starts = len(own)
         for start, bits in enumerate(own):
-            # one number holds the group, the column, the start and the bits
-            tag = (group.cast("bigint") * len(columns) + i) * starts + start
-            rows.append(F.struct(F.shiftleft(tag, KEY_BITS).bitwiseOR(bits).alias("key"), F.col(c).alias("value")))
+            # one number holds the column, the start and the bits
+            tag = F.lit((i * starts + start) << KEY_BITS).cast("bigint")
+            rows.append(F.struct(tag.bitwiseOR(bits).alias("key"), F.col(c).alias("value")))
     keyed = nodes.select("node", F.explode(F.array(*rows)).alias("k")).select("k.key", "node", "k.value")
-    return link(keyed, lambda key, x, y: ring.similar(F.pmod(F.shiftrightunsigned(key, KEY_BITS), F.lit(starts)), x, y), verify)
+    return link(keyed, lambda key, x, y: ring.similar(F.pmod(F.shiftrightunsigned(key, KEY_BITS), F.lit(starts)), x, y))
 
 
 def class_of(text: Column) -> Column:
