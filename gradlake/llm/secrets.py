@@ -28,8 +28,6 @@ IDENTIFIER = re.compile(r"(?i:\b(?:user(?:name)?|login|account|client_?id|access
 VALUE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9._~:@\[\]-]+(?:/[^\s\"'<>]*)?|(?i:\b(?:host|endpoint|server))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]{3,}", re.ASCII)
 BLANK = re.compile(r"\n[\x20\x09-\x0D]*\n")
-#: Of a single scan; whole tables are joined over whole scopes.
-REACH = 200
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -47,11 +45,19 @@ def looks_random(value: str) -> bool:
 
 
 def weak_parts(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, kind) of candidates that need a complement."""
-    found = [(m.start(), m.end(), 4) for m in VALUE.finditer(text) if looks_random(m[0])]
+    """(start, end, kind) of candidates that need a complement. What looks like a value inside an endpoint is a part of that endpoint."""
+    found, starts, ends = [], [], []
     if ":" in text or "=" in text:
         found += [(m.start(), m.end(), 3) for m in IDENTIFIER.finditer(text)]
-        found += [(m.start(), m.end(), 5) for m in ENDPOINT.finditer(text)]
+        for m in ENDPOINT.finditer(text):
+            found.append((m.start(), m.end(), 5))
+            starts.append(m.start())
+            ends.append(m.end())
+    for m in VALUE.finditer(text):
+        # endpoints do not overlap, so the last one that starts before the value ends is the only one that can reach into it
+        k = bisect_left(starts, m.end()) - 1
+        if looks_random(m[0]) and not (k >= 0 and ends[k] > m.start()):
+            found.append((m.start(), m.end(), 4))
     return sorted(found)
 
 
@@ -59,7 +65,7 @@ def weak_parts(text: str) -> list[tuple[int, int, int]]:
 ROLE = {0: "secret", 1: "identifier", 2: "secret", 3: "identifier", 4: "secret", 5: "endpoint"}
 
 
-def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], breaks: list[int], reach: float = REACH) -> list[tuple[int, int, int]]:
+def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], breaks: list[int], reach: float = math.inf) -> list[tuple[int, int, int]]:
     """The weak parts with a part of another role in their scope and within reach.
 
     ``breaks`` are the ends of scopes, ascending. Overlapping parts are one thing and no complement of each other; a weak part that
@@ -99,7 +105,7 @@ def linked(base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]], b
     return [p for p, ok in zip(parts, near, strict=True) if ok and p[2] >= 3 and not overlaps_base(p[0], p[1])]
 
 
-def scan(text: str, reach: float = REACH) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan(text: str, reach: float = math.inf) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base spans, and the weak parts that complete one another or a base span."""
     base, weak = base_spans(text), weak_parts(text)
     if not weak or len(base) + len(weak) < 2:
