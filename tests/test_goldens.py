@@ -94,10 +94,8 @@ def line(examples):
         (1e-4, 50, 4.99934684, 0.03272521219699329),
     ],
 )
-@pytest.mark.parametrize("strategy", ["auto", "loop"])
+@pytest.mark.parametrize("strategy", ["auto", "steps", "loop"])
 def test_line(line, lr, epochs, w, error, strategy):
-    if strategy == "loop" and epochs > 10:
-        pytest.skip("one job per step")
     result, found = fit_and_score(line, lr, epochs, 0, w0=[0.0], strategy=strategy)
     assert result.weights[0] == pytest.approx(w, abs=1e-7)
     assert found == pytest.approx(error, rel=1e-9)
